@@ -22,9 +22,24 @@ def dest_port(address: Column, null_as: str | None = None) -> Column:
     return port if null_as is None else F.coalesce(port, F.lit(null_as))
 
 
+def filled(text: Column) -> Column:
+    """The text, or NULL where it is empty.
+
+    Use it before ``try_cast``: a NULL passes through, while text that does not convert costs an
+    exception per row.
+    """
+    return F.nullif(text, F.lit(""))
+
+
 def bytes_number(text: Column) -> Column:
     """Bytes text to BIGINT; unreadable text gives NULL."""
-    return F.trim(text).try_cast("bigint")
+    return filled(F.trim(text)).try_cast("bigint")
+
+
+def port_number(address: Column) -> Column:
+    """Port of ``host:port`` as INT, NULL without a valid one."""
+    number = filled(dest_port(address)).try_cast("int")
+    return F.when(number.between(0, 65_535), number)
 
 
 def plain_text(value: Column, data_type: T.DataType) -> Column:
@@ -48,8 +63,11 @@ def _double_text(x: Column) -> Column:
     find the shortest digits, so the digits are taken from the 16-digit form where that reads back.
     """
     size = F.abs(x)
-    short = F.format_string("%.15e", size)
-    digits = F.when(short.cast("double") == size, short).otherwise(F.format_string("%.16e", size))
+    # NULL, NaN and infinity have no digits: the formatter would spell them out.
+    finite = size < float("inf")
+    short = F.when(finite, F.format_string("%.15e", size))
+    long = F.when(finite, F.format_string("%.16e", size))
+    digits = F.when(short.cast("double") == size, short).otherwise(long)
     mantissa = F.regexp_replace(F.substring_index(digits, "e", 1), r"\.?0*$", "")
     exponent = F.substring_index(digits, "e", -1).cast("int")
     figures = F.replace(mantissa, F.lit("."), F.lit(""))

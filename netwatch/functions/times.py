@@ -8,9 +8,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
-SPACE_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-
 # Fixed value: how a day is spelled in a folder path.
 DAY_FOLDER = r"year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})"
 
@@ -18,14 +15,11 @@ DAY_FOLDER = r"year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})"
 def parse_time(text: Column, fmt: str | None = None, default: dt.datetime | None = None) -> Column:
     """Text to TIMESTAMP. Unreadable text gives NULL, or ``default`` where one is given.
 
-    Without ``fmt`` both spellings of the log are read, ``2024-01-05T10:00:00`` and
-    ``2024-01-05 10:00:00``, each with an optional fraction.
+    Without ``fmt`` the text is cast, which reads both spellings of the log, ``2024-01-05T10:00:00``
+    and ``2024-01-05 10:00:00``, each with an optional fraction, and costs far less than a format.
     """
-    formats = (fmt,) if fmt else (ISO_FORMAT, SPACE_FORMAT)
-    readings = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    if default is not None:
-        readings.append(F.lit(default).cast("timestamp"))
-    return F.coalesce(*readings)
+    time = F.try_to_timestamp(text, F.lit(fmt)) if fmt else text.try_cast("timestamp")
+    return time if default is None else F.coalesce(time, F.lit(default).cast("timestamp"))
 
 
 def time_text(time: Column) -> Column:

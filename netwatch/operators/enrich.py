@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netwatch.functions.matching import attack_type, rule_flags
-from netwatch.functions.text import bytes_number, dest_port, row_key
+from netwatch.functions.text import bytes_number, dest_port, filled, row_key
 from netwatch.functions.times import event_day, hour_bucket, parse_time, time_text
 from netwatch.schema import DAY_PARTS, LOG_FIELDS, TEXT_FIELDS
 
@@ -27,8 +27,8 @@ def typed_logs(
         raise ValueError(f"log fields missing from the input: {', '.join(missing)}")
     kept = [c for c in ("event_id", *DAY_PARTS) if c in raw.columns]
     return raw.select(
-        parse_time(F.col("timestamp"), fmt, default_time).alias("event_time"),
-        *(F.nullif(F.col(name), F.lit("")).alias(name) for name in TEXT_FIELDS),
+        parse_time(filled(F.col("timestamp")), fmt, default_time).alias("event_time"),
+        *(filled(F.col(name)).alias(name) for name in TEXT_FIELDS),
         bytes_number(F.col("bytes_transferred")).alias("bytes_transferred"),
         *kept,
     )

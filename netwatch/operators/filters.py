@@ -28,13 +28,8 @@ def failed_access(df: DataFrame) -> DataFrame:
 
 def signature_rows(df: DataFrame, patterns: Sequence[str] = rules.SIGNATURES) -> DataFrame:
     """Rows whose path or agent matches any of the patterns, with case."""
-    joined = "|".join(patterns)
-    return df.filter(F.expr("false") if not patterns else _either_matches(joined))
-
-
-def _either_matches(pattern: str):
-    path, agent = (F.col(name).rlike(pattern) for name in ("request_path", "user_agent"))
-    return path | agent
+    path, agent = (F.col(name).rlike("|".join(patterns)) for name in ("request_path", "user_agent"))
+    return df.filter(path | agent)
 
 
 def at_least(df: DataFrame, column: str, n: float) -> DataFrame:
@@ -61,6 +56,7 @@ def after_mark(df: DataFrame, mark: str | dt.date | None) -> DataFrame:
 
 
 def valid_days(raw: DataFrame, column: str = "timestamp") -> tuple[DataFrame, DataFrame]:
-    """Splits text records into those with a readable time and the rejected rest."""
-    readable = parse_time(F.col(column)).isNotNull()
-    return raw.filter(readable), raw.filter(~readable)
+    """Splits text records into those whose time names a valid day, and the rejected rest."""
+    text = F.col(column)
+    dated = F.coalesce(text.like("%-%-%"), F.lit(False)) & parse_time(text).isNotNull()
+    return raw.filter(dated), raw.filter(~dated)

