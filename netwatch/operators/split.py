@@ -84,11 +84,12 @@ def _number(
     high = floors[0] if ends[1] is None else ends[1]
 
     ranks = ranks_of(total)
+    rows = _Rows(df, order[0], floors[0])
     cuts = [Cut(r, low=floors[0], high=high, size=total) for r in ranks if 0 < r < total]
-    _find(df, levels, cuts)
+    _find(rows, levels, cuts)
     if any(cut.inside for cut in cuts):
         levels = levels + [F.xxhash64(F.lit(seed), *df.columns) for seed in (1, 2)]
-        _find(df, levels, [cut for cut in cuts if cut.inside])
+        _find(rows, levels, [cut for cut in cuts if cut.inside])
 
     # Ranks at or below 0 count for every row, those from the total on for none. A cut among copies
     # counts for the rows behind all of them; the copies themselves are numbered apart.
@@ -97,7 +98,7 @@ def _number(
     placed = df.withColumn(name, _sum_true(always, passed))
     for cut in {tuple(cut.values): cut for cut in cuts if cut.inside}.values():
         same = _equal(levels, cut.values)
-        copies = _copies(df.filter(same), cut)
+        copies = _copies(rows.near([cut]).filter(same), cut)
         passed = [F.col("_own") >= r for r in ranks if 0 < r < total]
         copies = copies.withColumn(name, _sum_true(always, passed)).drop("_own")
         placed = placed.filter(~same).unionByName(copies)
@@ -119,19 +120,49 @@ def _as_bigint(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot split by {name}: order by times, dates or whole numbers")
 
 
-def _find(df: DataFrame, levels: list[Column], cuts: list[Cut]) -> None:
+@dataclass
+class _Rows:
+    """The rows to be split, readable near some cuts only.
+
+    The leading order column is compared as it is stored, so that a columnar source skips the blocks
+    that hold no candidates. ``floor`` stands for NULL, of which a source cannot tell where it is.
+    """
+
+    df: DataFrame
+    lead: str
+    floor: int
+
+    def near(self, cuts: Sequence[Cut]) -> DataFrame:
+        ends = {(c.values[0], c.values[0]) if c.values else (c.low, c.high) for c in cuts}
+        if any(low <= self.floor for low, _ in ends):
+            return self.df
+        lead = F.col(self.lead)
+        return self.df.filter(
+            reduce(Column.__or__, (lead.between(*map(self._stored, pair)) for pair in sorted(ends)))
+        )
+
+    def _stored(self, number: int) -> Column:
+        data_type = self.df.schema[self.lead].dataType
+        if isinstance(data_type, T.DateType):
+            return F.date_from_unix_date(F.lit(number).cast("int"))
+        if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+            return F.timestamp_micros(F.lit(number)).cast(data_type)
+        return F.lit(number).cast(data_type)
+
+
+def _find(rows: _Rows, levels: list[Column], cuts: list[Cut]) -> None:
     """Narrows the cuts down until each has a value for every level, or falls between two rows."""
-    keys = df.select(*(level.alias(f"k{i}") for i, level in enumerate(levels)))
+    named = [level.alias(f"k{i}") for i, level in enumerate(levels)]
     while True:
         open_cuts = [c for c in cuts if len(c.values) < len(levels) and (c.inside or not c.values)]
         unbounded = [c for c in open_cuts if c.low is None]
         few = [c for c in open_cuts if c.size <= FEW]
         if few:
-            _read(keys, few, len(levels))
+            _read(rows.near(few).select(*named), few)
         elif unbounded:
-            _bound(keys, unbounded)
+            _bound(rows.near(unbounded).select(*named), unbounded)
         elif open_cuts:
-            _count(keys, open_cuts)
+            _count(rows.near(open_cuts).select(*named), open_cuts)
         else:
             return
 
@@ -196,10 +227,10 @@ def _count(keys: DataFrame, cuts: list[Cut]) -> None:
         cut.narrow(max(cut.low, row.bin << shift), min(cut.high, ((row.bin + 1) << shift) - 1))
 
 
-def _read(keys: DataFrame, cuts: list[Cut], depth: int) -> None:
+def _read(keys: DataFrame, cuts: list[Cut]) -> None:
     """Reads the few candidates that are left, as counts of equal values, and fixes all levels."""
     slots = _slots(cuts)
-    names = [f"k{i}" for i in range(depth)]
+    names = keys.columns
     rows = _numbered(keys, slots).groupBy("slot", *names).count().collect()
     numbers = {slot: i for i, slot in enumerate(slots)}
     for cut in cuts:

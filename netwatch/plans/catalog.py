@@ -30,6 +30,8 @@ EXPIRY = "2024-01-30 12:00:00"
 # Thirty days become twelve hours for the windowed detectors.
 FAST = 60
 ORDER = ("event_time", "event_id")
+# Bounds a micro-batch over a table of very many files.
+FILES_PER_TRIGGER = 10_000
 
 
 def _logs(spark: SparkSession, folder: str, time_div: int = 1) -> DataFrame:
@@ -193,7 +195,7 @@ def _stream(table: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         root = work_dir(spark, "stream")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        messages = encode_envelope(logs_view(stream_events(spark, folder), FAST))
+        messages = encode_envelope(logs_view(stream_events(spark, folder, FILES_PER_TRIGGER), FAST))
         query = run_detectors(
             spark,
             decode_envelope(messages),

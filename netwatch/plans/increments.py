@@ -1,8 +1,9 @@
 """Batch runs over new days only.
 
-A run adds one increment of raw counts to each view table, in a folder named after the mark it started
-from. A run that failed before the mark moved is simply run again: it starts from the same mark and
-replaces its own folder. Totals and ratios are made when a view is read.
+A run makes the raw counts of all views in one pass over the new days and stores them as one increment,
+named after the mark it started from and written in a single commit. A run that failed before the mark
+moved is simply run again: it starts from the same mark and replaces its own increment. Totals and
+ratios are made when a view is read.
 """
 
 from __future__ import annotations
@@ -10,33 +11,25 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netwatch import rules
 from netwatch.functions.text import row_key
 from netwatch.functions.times import day_of_folder
-from netwatch.operators.days import days_after, list_days, max_day
-from netwatch.operators.filters import after_mark
-from netwatch.operators.views import (
-    attack_patterns,
-    merge_reputation,
-    rate_reputation,
-    reputation_counts,
-    threat_timeline,
-)
+from netwatch.operators.days import days_after, list_days
+from netwatch.operators.filters import after_mark, attacks_only
+from netwatch.operators.views import VIEW_NUMBERS, count_views, rate_reputation
 from netwatch.sources.logs import read_day, read_logs, stored_days
 from netwatch.sources.marks import read_hwm, write_hwm
 
 FIRST = "start"
 
-# Columns of the view tables as stored. They are given on reading, as a view may still be empty.
-STORED = {
-    "ip_reputation": "source_ip string, total_requests bigint, threat_count bigint",
-    "attack_patterns": "attack_type string, detection_date date, attack_count bigint, last_seen timestamp",
-    "threat_timeline": "hour timestamp, threat_label string, event_count bigint, total_bytes double",
-}
+# The stored counts. The columns are given on reading, as a view may still be empty.
+COUNTS = (
+    "source_ip string, attack_type string, detection_date date, hour timestamp, threat_label string, "
+    "events bigint, threats bigint, bytes bigint, processed_at timestamp, after string, view int"
+)
 
 
 def run_incremental(
@@ -49,6 +42,7 @@ def run_incremental(
 ) -> str | None:
     """Adds all days after the mark to the views and moves the mark; returns the mark.
 
+    Keep a state folder to one kind of run, this one or ``run_days``: both count the same days.
     Without new rows nothing changes. Days are compared with the mark by value, so rows that reach an
     already marked day later are not seen; delete the state to count everything anew. ``partitions``
     redistributes the input evenly, for sources that come as a few unsplittable files.
@@ -57,15 +51,12 @@ def run_incremental(
     logs = after_mark(read_logs(spark, base), mark)
     if partitions:
         logs = logs.repartition(partitions)
-    needed = ("event_time", "source_ip", "threat_label", "bytes_transferred", "request_path")
-    shared = logs.select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        newest = max_day(shared).first().max_day
-        if newest is None:
-            return mark
-        _add_views(shared, state, mark or FIRST, rule_set, as_of, replace_all=mark is None)
-    finally:
-        shared.unpersist()
+    increment = mark or FIRST
+    _add(count_views(logs, rule_set, as_of), state, increment, replace_all=mark is None)
+    days = _stored(spark, state, "attack_patterns").filter(F.col("after") == increment)
+    newest = days.agg(F.max("detection_date")).first()[0]
+    if newest is None:
+        return mark
     write_hwm(spark, f"{state}/mark", newest)
     return str(newest)
 
@@ -102,53 +93,45 @@ def add_day(spark: SparkSession, folder: str, state: str) -> None:
     day = day_of_folder(folder)
     if day is None:
         raise ValueError(f"not a day folder: {folder}")
-    logs = read_day(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _add_views(logs, state, day, rules.BATCH_A, None, replace_all=False)
-    finally:
-        logs.unpersist()
+    counts = count_views(read_day(spark, folder), rules.BATCH_A)
+    _add(counts, state, day, replace_all=False)
 
 
 def merged_reputation(spark: SparkSession, state: str) -> DataFrame:
     """Reputation over all increments: counts are added up, ratios are made from the sums."""
-    return rate_reputation(merge_reputation(_stored(spark, state, "ip_reputation")))
+    totals = _stored(spark, state, "ip_reputation").groupBy("source_ip")
+    counts = totals.agg(
+        F.sum("events").alias("total_requests"), F.sum("threats").alias("threat_count")
+    )
+    return rate_reputation(counts)
 
 
 def merged_patterns(spark: SparkSession, state: str) -> DataFrame:
-    found = _stored(spark, state, "attack_patterns").groupBy("attack_type", "detection_date")
-    merged = found.agg(
-        F.sum("attack_count").alias("attack_count"), F.max("last_seen").alias("last_seen")
+    found = attacks_only(_stored(spark, state, "attack_patterns"))
+    merged = found.groupBy("attack_type", "detection_date").agg(
+        F.sum("events").alias("attack_count"), F.max("processed_at").alias("last_seen")
     )
     return merged.withColumn("row_key", row_key(F.col("attack_type"), F.col("detection_date")))
 
 
 def merged_timeline(spark: SparkSession, state: str) -> DataFrame:
-    hours = _stored(spark, state, "threat_timeline").groupBy("hour", "threat_label")
-    merged = hours.agg(
-        F.sum("event_count").alias("event_count"), F.sum("total_bytes").alias("total_bytes")
+    merged = (
+        _stored(spark, state, "threat_timeline")
+        .groupBy("hour", "threat_label")
+        .agg(
+            F.sum("events").alias("event_count"),
+            F.sum("bytes").cast("double").alias("total_bytes"),
+        )
     )
     return merged.withColumn("row_key", row_key(F.col("threat_label"), F.col("hour")))
 
 
-def _add_views(
-    logs: DataFrame,
-    state: str,
-    increment: str,
-    rule_set: Mapping[str, str],
-    as_of: dt.datetime | str | None,
-    replace_all: bool,
-) -> None:
-    views = {
-        "ip_reputation": reputation_counts(logs),
-        "attack_patterns": attack_patterns(logs, rule_set, as_of=as_of).drop("row_key"),
-        "threat_timeline": threat_timeline(logs).drop("row_key"),
-    }
-    for name, view in views.items():
-        marked = view.withColumn("after", F.lit(increment))
-        writer = marked.write.mode("overwrite").partitionBy("after")
-        mode = "static" if replace_all else "dynamic"
-        writer.option("partitionOverwriteMode", mode).parquet(f"{state}/{name}")
+def _add(counts: DataFrame, state: str, increment: str, replace_all: bool) -> None:
+    writer = counts.withColumn("after", F.lit(increment)).write.partitionBy("after", "view")
+    mode = "static" if replace_all else "dynamic"
+    writer.mode("overwrite").option("partitionOverwriteMode", mode).parquet(f"{state}/counts")
 
 
 def _stored(spark: SparkSession, state: str, view: str) -> DataFrame:
-    return spark.read.schema(f"{STORED[view]}, after string").parquet(f"{state}/{view}").drop("after")
+    stored = spark.read.schema(COUNTS).parquet(f"{state}/counts")
+    return stored.filter(F.col("view") == VIEW_NUMBERS[view])

@@ -26,7 +26,11 @@ TABLE_KEYS = {
     "ip_threat_scores": ("source_ip", "window_start"),
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State outside the Java heap, checkpointed as changes instead of as whole snapshots.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def detector_tables(logs: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
@@ -66,7 +70,7 @@ def run_detectors(
     RocksDB, outside the Java heap, since without a watermark it never expires.
     """
     sink = sink or (lambda table: upsert_batch(f"{root}/{table}"))
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    settings = dict(STATE_SETTINGS)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     frames = detector_tables(logs, as_of)

@@ -3,8 +3,10 @@
 import pytest
 
 import __spark_entry__ as driver
+from netwatch import rules
 from netwatch.operators import detectors, filters, keyed, views
 from netwatch.operators.enrich import raw_logs
+from netwatch.operators import split
 from netwatch.operators.split import replay_chunks
 from netwatch.plans.increments import pending_days
 from netwatch.sinks.days import write_by_day, write_view
@@ -61,6 +63,12 @@ def test_one_shuffle_per_view_with_partial_aggregation(stored):
         assert "partial_" in text
 
 
+def test_increments_read_the_log_once(stored):
+    text = plan(views.count_views(stored))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert text.count("RLIKE") == len(rules.BATCH_B)
+
+
 def test_top_ips_does_not_sort_everything(stored):
     text = plan(views.top_ips(stored))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
@@ -80,6 +88,12 @@ def test_a_numbered_frame_is_not_shuffled(stored):
     assert "Exchange" not in plan(replay_chunks(stored, ["event_time"]))
 
 
+def test_a_pass_of_a_split_skips_blocks_without_candidates(stored):
+    rows = split._Rows(stored, "event_time", floor=0)
+    cut = split.Cut(1, low=1_704_448_800_000_000, high=1_704_448_900_000_000)
+    assert "GreaterThanOrEqual(event_time,2024-01-05" in plan(rows.near([cut]))
+
+
 def test_messages_are_parsed_once(spark, stored, folder):
     write_view(encode_envelope(stored), f"{folder}/messages")
     read = decode_envelope(spark.read.parquet(f"{folder}/messages"))
