@@ -45,7 +45,7 @@ def merge_reputation(counts: DataFrame) -> DataFrame:
 
 
 def rate_reputation(counts: DataFrame, day: str | None = None, risk: bool = True) -> DataFrame:
-    """Ratio, risk level and key from counts."""
+    """Ratio, risk level and key from counts; their day is given, or a column of theirs, or left out."""
     score = threat_ratio(F.col("threat_count"), F.col("total_requests"))
     columns = ["source_ip", "total_requests", "threat_count", score.alias("threat_score")]
     if risk:
@@ -53,6 +53,8 @@ def rate_reputation(counts: DataFrame, day: str | None = None, risk: bool = True
     columns.append(F.col("source_ip").alias("row_key"))
     if day is not None:
         columns.append(lit_day(day).alias("detection_date"))
+    elif "detection_date" in counts.columns:
+        columns.append("detection_date")
     return counts.select(*columns)
 
 

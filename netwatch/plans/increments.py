@@ -106,6 +106,17 @@ def merged_reputation(spark: SparkSession, state: str) -> DataFrame:
     return rate_reputation(counts)
 
 
+def daily_reputation(spark: SparkSession, state: str) -> DataFrame:
+    """Reputation of each day on its own, from a state that ``run_days`` keeps."""
+    counts = _stored(spark, state, "ip_reputation").select(
+        "source_ip",
+        F.col("events").alias("total_requests"),
+        F.col("threats").alias("threat_count"),
+        F.col("after").cast("date").cast("timestamp").alias("detection_date"),
+    )
+    return rate_reputation(counts)
+
+
 def merged_patterns(spark: SparkSession, state: str) -> DataFrame:
     found = attacks_only(_stored(spark, state, "attack_patterns"))
     merged = found.groupBy("attack_type", "detection_date").agg(

@@ -103,5 +103,10 @@ def test_days_run_in_order_and_stop_at_the_first_failure(spark, folder, few_days
     assert values(increments.merged_reputation(spark, state)) == values(views.ip_reputation(few_days))
     expected = views.attack_patterns(few_days, rules.BATCH_A).drop("last_seen")
     assert values(increments.merged_patterns(spark, state).drop("last_seen")) == values(expected)
+    daily = increments.daily_reputation(spark, state)
+    second = few_days.filter(f"{DAY} = DATE '2024-01-02'")
+    assert values(daily.filter("detection_date = TIMESTAMP '2024-01-02'")) == values(
+        views.ip_reputation(second, day="2024-01-02")
+    )
     with pytest.raises(ValueError):
         increments.add_day(spark, f"{folder}/elsewhere", state)

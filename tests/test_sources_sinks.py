@@ -1,12 +1,14 @@
 import json
 import os
-import threading
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from netwatch.functions.times import day_from_path
 from netwatch.operators.enrich import raw_logs
+from netwatch.operators.views import threat_timeline
+from netwatch.plans.publish import publish
 from netwatch.schema import LOG_FIELDS
 from netwatch.sinks import stores
 from netwatch.sinks.days import write_by_day, write_view
@@ -153,13 +155,21 @@ class FileClient:
         self.folder = folder
 
     def put(self, rows):
-        with open(os.path.join(self.folder, f"{os.getpid()}-{threading.get_ident()}-{rows[0]['id']}"), "w") as f:
-            json.dump(rows, f)
+        with open(os.path.join(self.folder, uuid.uuid4().hex), "w") as f:
+            json.dump(rows, f, default=str)
 
     def close(self):
         pass
 
 
+def received(folder):
+    batches = []
+    for name in os.listdir(folder):
+        with open(os.path.join(folder, name)) as f:
+            batches.append(json.load(f))
+    return batches
+
+
 class BrokenClient(FileClient):
     def put(self, rows):
         raise OSError("store is down")
@@ -177,10 +187,7 @@ def _worker_modules():
 def test_partitions_are_written_in_batches(spark, folder):
     _worker_modules()
     stores.write_partitions(spark.range(0, 25, 1, 2), lambda: FileClient(folder), batch_size=10)
-    batches = []
-    for name in os.listdir(folder):
-        with open(os.path.join(folder, name)) as f:
-            batches.append(json.load(f))
+    batches = received(folder)
     assert sorted(len(b) for b in batches) == [2, 3, 10, 10]
     assert sorted(row["id"] for b in batches for row in b) == list(range(25))
 
@@ -191,6 +198,22 @@ def test_a_failing_store_fails_the_job(spark, folder):
         stores.write_partitions(spark.range(3), lambda: BrokenClient(folder))
 
 
+def test_a_view_goes_to_both_stores(spark, tmp_path):
+    _worker_modules()
+    cells, points = str(tmp_path / "cells"), str(tmp_path / "points")
+    os.mkdir(cells), os.mkdir(points)
+    view = threat_timeline(logs(spark, {}, {"threat_label": None}))
+    publish(view, "threat_timeline", lambda: FileClient(cells), lambda: FileClient(points))
+    got = sorted((c["row_key"], c["qualifier"], c["value"]) for batch in received(cells) for c in batch)
+    hour = "2024-01-05 10:00:00"
+    assert got == [
+        (hour, "event_count", "1"), (hour, "total_bytes", "100.0"),
+        (f"benign#{hour}", "event_count", "1"), (f"benign#{hour}", "total_bytes", "100.0"),
+    ]
+    sent = sorted((str(p["tags"]), p["longs"]["event_count"], p["time"]) for batch in received(points) for p in batch)
+    assert sent == [("{'threat_label': 'benign'}", 1, hour), ("{}", 1, hour)]
+
+
 def test_fan_out_computes_a_view_once(spark):
     seen = []
     frame = spark.range(10).withColumn("r", F.rand())
