@@ -64,29 +64,15 @@ def _double_text(x: Column) -> Column:
     """
     size = F.abs(x)
     # NULL, NaN and infinity have no digits: the formatter would spell them out.
-    finite = size < float("inf")
-    short = F.when(finite, F.format_string("%.15e", size))
-    long = F.when(finite, F.format_string("%.16e", size))
-    digits = F.when(short.cast("double") == size, short).otherwise(long)
-    mantissa = F.regexp_replace(F.substring_index(digits, "e", 1), r"\.?0*$", "")
-    exponent = F.substring_index(digits, "e", -1).cast("int")
-    figures = F.replace(mantissa, F.lit("."), F.lit(""))
-
-    whole = F.rpad(F.substring(figures, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
-    rest = F.substring(figures, exponent + 2, F.length(figures))
-    large = F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), figures)
-    power = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)), F.lit("0"))
-    scientific = F.concat(mantissa, F.when(exponent < 0, "e-").otherwise("e+"), power)
-
+    finite = F.when(size < float("inf"), size)
+    short = F.when(finite.isNotNull(), F.format_string("%.15e", finite))
+    digits = F.when(short.cast("double") == size, short).otherwise(F.format_string("%.16e", finite))
+    fixed = digits.try_cast("decimal(38,21)").cast("string")
     text = (
-        F.when(exponent.between(0, 15), large)
-        .when(exponent.between(-4, -1), small)
-        .otherwise(scientific)
-    )
-    return (
-        F.when(F.isnan(x), "nan")
-        .when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
-        .when(x < 0, F.concat(F.lit("-"), text))
-        .otherwise(text)
+        F.when(size == 0, "0.0")
+        .when((size >= 1e-4) & (size < 1e16), F.regexp_replace(fixed, r"(\.\d+?)0*$", "$1"))
+        .when(finite.isNotNull(), F.regexp_replace(digits, r"\.?0*e", "e"))
+        .when(F.isnan(x), "nan")
+        .when(size.isNotNull(), "inf")
     )
+    return F.when(x < 0, F.concat(F.lit("-"), text)).otherwise(text)
