@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Shares a key is cut into before its versions are ranked, when many versions are kept.
-VERSION_SHARES = 64
+VERSION_SHARES = 4096
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -38,12 +38,13 @@ def keep_versions(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: i
 
     Spark cuts each map task to n rows per key before the shuffle as long as n is at most
     ``spark.sql.optimizer.windowGroupLimitThreshold``. Beyond that a first ranking inside shares of
-    each key does the same, so that a hot key never meets in one task as a whole.
+    each key does the same, so that a hot key never meets in one task as a whole. Shares go by the task
+    that read a row, as exact copies of a row would share any value computed from it.
     """
     newest_first = [F.desc(c) for c in order]
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > limit:
-        share = F.pmod(F.xxhash64(*df.columns), F.lit(VERSION_SHARES))
+        share = F.pmod(F.spark_partition_id(), F.lit(VERSION_SHARES))
         per_share = Window.partitionBy(*keys, "_share").orderBy(*newest_first)
         df = (
             df.withColumn("_share", share)
@@ -66,6 +67,10 @@ def clustered(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
 
     Ranges are cut over key and order together: a hot key spans several neighbouring partitions
     instead of filling one, and reading the partitions in turn gives the whole clustering order.
+    Rows that are equal in both are spread by the task that read them, which is the same for a task
+    that runs again, so copies of one row do not meet in one partition either.
     """
     layout = [F.col(key), *order]
-    return df.repartitionByRange(*layout).sortWithinPartitions(*layout)
+    read_by = df.withColumn("_task", F.spark_partition_id())
+    placed = read_by.repartitionByRange(*layout, "_task").sortWithinPartitions(*layout)
+    return placed.drop("_task")

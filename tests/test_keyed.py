@@ -1,3 +1,5 @@
+from collections import Counter
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -63,3 +65,18 @@ def test_clustered_spreads_a_hot_key_in_order(spark):
     got = [tuple(r) for r in laid.collect()]
     assert [(k, t) for k, t, _ in got] == sorted(((k, t) for k, t, _ in got), key=lambda r: (r[0], -r[1]))
     assert len(got) == 4000
+
+
+def test_clustered_spreads_copies_of_one_row(spark):
+    rows = spark.range(0, 8000, 1, 8).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("t"))
+    rows = rows.withColumn("k", F.lit("hot"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # So small a frame would be put into one partition again.
+    try:
+        laid = keyed.clustered(rows, "k", [F.col("t")]).select("t", F.spark_partition_id().alias("p"))
+        got = [tuple(r) for r in laid.collect()]
+    finally:
+        spark.conf.unset(key)
+    assert [t for t, _ in got] == sorted(r.t for r in rows.collect())
+    copies = Counter(p for t, p in got if t == -1)
+    assert sum(copies.values()) == 4000 and max(copies.values()) <= 2000
