@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SMALLEST = -(2**63)
 BINS = 4096
 # Candidates of a rank below this number are read as they are instead of being counted once more.
 FEW = 10_000
@@ -28,9 +29,9 @@ FEW = 10_000
 
 @dataclass
 class Cut:
-    """Where a rank falls: ``values`` of the leading levels, found so far, and what is left below it.
+    """Where a rank falls: ``values`` of the leading levels, and bounds of the next while it is searched.
 
-    ``base`` rows lie before these values, ``size`` rows have exactly these values.
+    ``base`` rows lie before the values and bounds, ``size`` rows are within them.
     """
 
     rank: int
@@ -45,6 +46,10 @@ class Cut:
         """True when rows with equal values fall on both sides."""
         return self.base < self.rank
 
+    def settled(self, levels: int) -> bool:
+        """True when the values alone tell the sides apart, or no level is left to tell more."""
+        return self.low is None and (len(self.values) == levels or not self.inside)
+
     def slot(self) -> tuple:
         return (*self.values, self.low, self.high)
 
@@ -79,7 +84,7 @@ def _number(
     ends = [end(n) for n in numbers for end in (F.min, F.max)]
     total, *ends = df.agg(F.count(F.lit(1)), *(e.alias(f"e{i}") for i, e in enumerate(ends))).first()
     # NULL comes first: it stands one below the smallest number.
-    floors = [(smallest or 0) - 1 for smallest in ends[::2]]
+    floors = [max((smallest or 0) - 1, SMALLEST) for smallest in ends[::2]]
     levels = [F.coalesce(n, F.lit(floor)) for n, floor in zip(numbers, floors)]
     high = floors[0] if ends[1] is None else ends[1]
 
@@ -154,7 +159,7 @@ def _find(rows: _Rows, levels: list[Column], cuts: list[Cut]) -> None:
     """Narrows the cuts down until each has a value for every level, or falls between two rows."""
     named = [level.alias(f"k{i}") for i, level in enumerate(levels)]
     while True:
-        open_cuts = [c for c in cuts if len(c.values) < len(levels) and (c.inside or not c.values)]
+        open_cuts = [c for c in cuts if not c.settled(len(levels))]
         unbounded = [c for c in open_cuts if c.low is None]
         few = [c for c in open_cuts if c.size <= FEW]
         if few:

@@ -9,7 +9,7 @@ from netwatch.sources.events import logs_view, read_events
 from netwatch.sources.logs import read_logs
 from netwatch.sources.marks import read_hwm
 from tests.conftest import TESTDATA
-from tests.helpers import logs, raw, values
+from tests.helpers import raw, values
 
 AS_OF = "2024-02-01"
 DAY = "CAST(event_time AS DATE)"

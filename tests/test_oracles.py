@@ -1,6 +1,5 @@
 """Every registered query against its SQL in DuckDB, value for value."""
 
-import datetime as dt
 import os
 
 import duckdb

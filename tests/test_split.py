@@ -55,6 +55,29 @@ def test_a_third_of_all_rows_may_be_copies_of_one(spark):
     assert sorted(tuple(r) for r in got) == [(0, 750), (1, 750), (2, 750), (3, 750)]
 
 
+@pytest.mark.parametrize("n", [2, 4, 8])
+def test_a_cut_on_the_edge_of_a_bin_of_a_lower_level(spark, passes, n):
+    df = spark.range(16).selectExpr("0L AS a", "int(id) AS b")
+    got = sorted(tuple(r)[1:] for r in split.replay_chunks(df, ["a", "b"], n).collect())
+    assert got == [(b, b // (16 // n)) for b in range(16)]
+
+
+def test_many_cuts_through_many_ties(spark, passes):
+    df = spark.range(600).selectExpr(
+        "if(id % 11 = 0, NULL, id * 7919 % 13) AS a", "int(id * 104729 % 5) AS b", "id % 3 AS c"
+    )
+    got = [tuple(r) for r in split.replay_chunks(df, ["a", "b"], 7).collect()]
+    assert sorted((r[:3] for r in got), key=str) == sorted((tuple(r) for r in df.collect()), key=str)
+    assert [sum(1 for r in got if r[3] == c) for c in range(7)] == [85] * 6 + [90]
+    assert [key(r) for r in sorted(got, key=lambda r: (r[3], key(r)))] == sorted(key(r) for r in got)
+
+
+def test_the_smallest_number_and_null(spark, passes):
+    df = spark.createDataFrame([(-(2**63),), (None,), (5,), (2**63 - 1,)], "a bigint")
+    head, tail = split.ordered_split(df, ["a"], 0.5)
+    assert {r.a for r in head.collect()} == {-(2**63), None} and {r.a for r in tail.collect()} == {5, 2**63 - 1}
+
+
 def test_split_by_time_and_date(spark):
     df = logs(spark, *({"event_time": dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)} for m in range(8)))
     head, tail = split.ordered_split(df, ["event_time"], 0.5)
