@@ -23,7 +23,7 @@ def passes(request, monkeypatch):
         monkeypatch.setattr(split, "FEW", 0)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(ROWS)
 def test_split_is_exact_for_ties_nulls_and_copies(spark, passes, rows):
     df = spark.createDataFrame(rows, "a bigint, b int, c string")
@@ -34,7 +34,7 @@ def test_split_is_exact_for_ties_nulls_and_copies(spark, passes, rows):
         assert max(map(key, head)) <= min(map(key, tail))
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(ROWS, st.integers(1, 5))
 def test_chunks_have_equal_size_and_the_last_takes_the_rest(spark, passes, rows, n):
     df = spark.createDataFrame(rows, "a bigint, b int, c string")
