@@ -18,7 +18,7 @@ from netwatch.sources.envelope import decode_envelope, encode_envelope
 from netwatch.sources.events import logs_view, read_events, stream_events
 from netwatch.sources.logs import read_logs
 from netwatch.streaming.runs import TABLE_KEYS, run_detectors
-from netwatch.streaming.tables import read_latest
+from netwatch.streaming.tables import read_latest, read_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,8 +207,10 @@ def _stream(table: str) -> Query:
             state_partitions=spark.sparkContext.defaultParallelism,
         )[table]
         query.awaitTermination()
-        rows = read_latest(spark, f"{root}/tables/{table}", TABLE_KEYS[table])
-        return rows.drop("event_key")
+        path = f"{root}/tables/{table}"
+        if table == "realtime_threats":
+            return read_rows(spark, path).drop("event_key")
+        return read_latest(spark, path, TABLE_KEYS[table])
 
     return run
 

@@ -30,6 +30,14 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return latest_per_key(_written(spark, path), keys, ["batch"]).drop("batch")
 
 
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All rows ever written, for tables whose rows are never updated: no shuffle, and copies are kept.
+
+    Each row of the source is in exactly one batch. Do not ``compact`` such a table.
+    """
+    return _written(spark, path).drop("batch")
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str], upto: int) -> None:
     """Folds all batches up to ``upto`` into a snapshot. Call it for finished batches only."""
     done = read_hwm(spark, f"{path}/snapshot")

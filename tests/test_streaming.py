@@ -13,7 +13,7 @@ from netwatch.sources.stream import read_stream
 from netwatch.streaming import tables
 from netwatch.streaming.runs import TABLE_KEYS, await_any, detector_tables, run_detectors, with_lateness
 from tests.conftest import TESTDATA
-from tests.helpers import values
+from tests.helpers import logs, values
 
 AS_OF = "2024-02-01"
 NOW = {"availableNow": True}
@@ -50,7 +50,7 @@ def table(spark, root, name):
 
 
 def test_four_streams_equal_the_batch(spark, source, folder):
-    messages, logs = source
+    messages, log = source
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     queries = start(spark, messages, folder)
     assert set(queries) == set(TABLE_KEYS)
@@ -58,7 +58,7 @@ def test_four_streams_equal_the_batch(spark, source, folder):
         query.awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
     assert len(queries["ip_threat_scores"].recentProgress) >= 4
-    for name, expected in detector_tables(logs, as_of=AS_OF).items():
+    for name, expected in detector_tables(log, as_of=AS_OF).items():
         got = table(spark, folder, name)
         assert got.columns == expected.columns
         assert values(got) == values(expected), name
@@ -89,6 +89,17 @@ def test_a_batch_that_runs_again_is_written_once(spark, folder):
     assert values(tables.read_latest(spark, f"{folder}/t", ["k"])) == [("a", 2), ("b", 1)]
 
 
+def test_copies_of_a_signature_row_are_kept(spark, folder):
+    copies = encode_envelope(logs(spark, *[{"request_path": "/?cmd=x"}] * 3))
+    copies.repartition(3).write.parquet(f"{folder}/messages/0")
+    stream = decode_envelope(read_stream(spark, "parquet", path=f"{folder}/messages/*", maxFilesPerTrigger="1"))
+    name = "realtime_threats"
+    query = run_detectors(spark, stream, folder, f"{folder}/c", tables=[name], trigger=NOW, state_partitions=2)[name]
+    query.awaitTermination()
+    assert tables.read_rows(spark, f"{folder}/{name}").count() == 3
+    assert tables.read_latest(spark, f"{folder}/{name}", TABLE_KEYS[name]).count() == 1
+
+
 def test_a_tight_watermark_loses_rows_and_a_wide_one_does_not(spark, source, folder):
     messages, logs = source
     total = detectors.ip_scores(logs).count()
