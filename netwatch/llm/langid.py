@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netwatch.llm.tasks import per_text, remainder, sliced, texts
+from netwatch.llm.tasks import per_text, remainder, sliced, texts, where
 
 ORDER = 4
 MOST_ROWS = 2_000
@@ -144,7 +144,7 @@ def gram_hashes(codes: np.ndarray, n: int) -> np.ndarray:
     """The hash of each n-gram that ends at a place; codes of words laid out one after the other."""
     out = np.zeros(len(codes), np.uint64) + np.uint64(n)
     for back in range(n - 1, -1, -1):
-        shifted = codes if not back else np.concatenate([np.zeros(back, np.uint64), codes[:-back]])
+        shifted = np.concatenate([np.zeros(back, np.uint64), codes])[: len(codes)]
         out = (out ^ shifted) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(31)
     return out
@@ -273,14 +273,15 @@ def calibrated(model: Model, rows: DataFrame, lang: str, text: str) -> Model:
 
         return work
 
-    found = per_text(rows, [lang], "entropies array<double>, letters double", make, text)
+    named = rows.select(F.col(lang).alias("_lang"), F.col(text).alias("_own"))
+    found = per_text(named, ["_lang"], "entropies array<double>, letters double", make, "_own")
     own = found.filter(F.col("letters") > 0).select(
-        lang, F.element_at("entropies", F.array_position(F.array(*map(F.lit, model.langs)), F.col(lang)).cast("int")).alias("h"), "letters"
+        "_lang", F.element_at("entropies", F.array_position(F.array(*map(F.lit, model.langs)), F.col("_lang")).cast("int")).alias("h"), "letters"
     )
     table = own.toPandas()  # three numbers for each of the sampled rows
     mean, spread, drift, limit = (np.ones(len(model.langs)) for _ in range(4))
     for i, name in enumerate(model.langs):
-        part = table[table[lang] == name]
+        part = table[table["_lang"] == name]
         h, letters = part["h"].to_numpy(float), part["letters"].to_numpy(float)
         if not len(h):
             mean[i], limit[i] = 0, 1e9
@@ -328,6 +329,11 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     return per_text(docs, keep, "lang_pred string, score double, entropy double, rejected boolean", make, text)
 
 
+def certain_only(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows whose language is not rejected, with all their columns."""
+    return where(docs, lambda rows, keep, name: identify(rows, model, keep, name), "NOT rejected", text)
+
+
 def learnable(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The rows that are not held out."""
     return docs.filter(~held_out(id_column))

@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netwatch.llm.tasks import per_text
+from netwatch.llm.tasks import numbered_names, per_text
 
 # Kinds in the order of their listing.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -51,7 +51,7 @@ CONTEXT = {
 }
 AGAINST = re.compile(r"(?i)\b(?:version|order|invoice|isbn|part|serial|sample)\b")
 NEAR = 40
-RAISE, LOWER = 0.3, 0.2
+RAISE, LOWER = 0.4, 0.2
 ENOUGH = 0.5
 
 
@@ -205,7 +205,9 @@ def count_pii(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame
 
 def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns as they are, but for the spans of the text, which name their kind instead; NULL stays."""
-    others = [name for name in docs.columns if name != text]
+    own = numbered_names(docs)
+    at = docs.columns.index(text)
+    others = [name for i, name in enumerate(own.columns) if i != at]
 
     def make() -> Callable[[list], dict[str, list]]:
         def work(values: list) -> dict[str, list]:
@@ -218,5 +220,5 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
         return work
 
-    out = per_text(docs, others, "_masked string", make, text)
-    return out.select(*(F.col("_masked").alias(text) if name == text else name for name in docs.columns))
+    out = per_text(own, others, "_masked string", make, f"_c{at}")
+    return out.select(*(F.col("_masked") if i == at else name for i, name in enumerate(own.columns))).toDF(*docs.columns)

@@ -10,7 +10,8 @@ needs one in eleven and several global sorts of them; see the README.
    its place, its name, and the hash of all its bytes, its form.
 2. Segments whose name occurs once are left. Segments with a form that occurs twice are covered whole.
 3. A name with several forms is at the edge of a repeat. One segment of each form is cut into windows,
-   whose hashes are counted under the name. Windows that occur twice cover their bytes.
+   whose hashes are counted under the name: together for a name of few forms, each for itself for a name
+   of very many. Windows that occur twice cover their bytes.
 
 Copies are counted before each shuffle, so that a passage in a third of all documents is one row per task.
 
@@ -34,6 +35,8 @@ LENGTH = 200
 GRAM = 32
 # Window starts of one text that are worked on at one time.
 PIECE = 1 << 19
+# Forms of one name that are compared in one row; names with more are compared window by window.
+FORMS = 256
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD1342543DE82EF95
@@ -143,33 +146,72 @@ def cut(docs: DataFrame, id_column: str, text: str, length: int, gram: int) -> D
     return frame.mapInArrow(run, ", ".join([*(f"{n} {k}" for n, k in kinds.items()), lists]))
 
 
-def form_windows(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """``name, form, hashes`` of the windows of the segments listed with each packed text."""
+SEGMENT = "_row long, name long, form long, n long, n_forms long, first int, data binary"
+
+
+def edge_segments(rows: DataFrame, length: int) -> DataFrame:
+    """The segments listed with each packed text, with their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdDecompressor()
         for batch in batches:
-            names, forms, lists = [], [], []
-            for packed, listed in zip(batch.column(0), batch.column(1)):
-                data = packer.decompress(packed.as_py())
-                for one in listed.as_py():
-                    names.append(one["name"])
-                    forms.append(one["form"])
-                    lists.append(window_hashes(data[one["first"] : one["last"] + length], length, gram))
-                if len(names) > 10_000:
-                    yield made(names, forms, lists)
-                    names, forms, lists = [], [], []
-            yield made(names, forms, lists)
-
-    def made(names: list, forms: list, lists: list) -> pa.RecordBatch:
-        sizes = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-        flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
-        hashes = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(forms, pa.int64()), hashes], names=["name", "form", "hashes"]
-        )
+            for at in range(0, batch.num_rows, 64):
+                part, found = batch.slice(at, 64), []
+                for row, packed, listed in zip(*(column.to_pylist() for column in part.columns)):
+                    data = packer.decompress(packed)
+                    found += [
+                        (row, s["name"], s["form"], s["n"], s["n_forms"], s["first"], data[s["first"] : s["last"] + length])
+                        for s in listed
+                    ]
+                kinds = (*(pa.int64(),) * 5, pa.int32(), pa.binary())
+                columns = list(zip(*found)) or [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+    names = [column.split()[0] for column in SEGMENT.split(", ")]
+    return rows.select("_row", "packed", "listed").mapInArrow(run, SEGMENT)
+
+
+def in_small_names(segments: DataFrame, length: int, gram: int) -> DataFrame:
+    """``_row, first`` of the windows that occur twice among the forms of a name, a name at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for listed in batch.column(0):
+                forms = listed.as_py()
+                hashes = [window_hashes(form["data"], length, gram) for form in forms]
+                _, place, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+                twice = np.split(count[place] > 1, np.cumsum([len(h) for h in hashes])[:-1])
+                for form, found in zip(forms, twice):
+                    if form["n"] == 1 and found.any():
+                        at = np.flatnonzero(found)
+                        starts.append(at + form["first"])
+                        rows.append(np.full(len(at), form["_row"]))
+            arrays = [pa.array(np.concatenate(rows)), pa.array(np.concatenate(starts).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["_row", "first"])
+
+    lists = segments.groupBy("name").agg(F.collect_list(F.struct("_row", "n", "first", "data")).alias("forms"))
+    return lists.select("forms").mapInArrow(run, "_row long, first int")
+
+
+def in_large_names(segments: DataFrame, length: int, gram: int) -> DataFrame:
+    """The same where a name has very many forms: windows are counted one by one, wherever they are."""
 
-    return rows.select("packed", "listed").mapInArrow(run, "name long, form long, hashes array<long>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [window_hashes(data, length, gram) for data in batch.column(4).to_pylist()]
+            sizes = np.cumsum([0, *map(len, hashes)]).astype(np.int32)
+            flat = np.concatenate([np.empty(0, np.int64), *hashes])
+            lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], lists], names=[*batch.schema.names[:4], "hashes"])
+
+    found = segments.select("name", "_row", "n", "first", "data").mapInArrow(
+        run, "name long, _row long, n long, first int, hashes array<long>"
+    )
+    flat = found.select("name", "_row", "n", "first", F.posexplode("hashes").alias("at", "hash"))
+    twice = flat.groupBy("name", "hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("name", "hash")
+    single = flat.filter("n = 1").join(twice, ["name", "hash"], "left_semi")
+    return single.select("_row", (F.col("first") + F.col("at")).alias("first"))
 
 
 def repeats(
@@ -190,32 +232,25 @@ def repeats(
         ),
         "forms",
     )
-    several = forms.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("name")
-    edges = saved(forms.join(several, "name", "left_semi"), "edges")
+    several = forms.groupBy("name").agg(F.count(F.lit(1)).alias("n_forms")).filter("n_forms > 1")
     listed = (
-        edges.select("one._row", F.struct("name", "form", "one.first", "one.last").alias("s"))
+        forms.join(several, "name")
+        .select("one._row", F.struct("name", "form", "n", "n_forms", "one.first", "one.last").alias("s"))
         .groupBy("_row")
         .agg(F.collect_list("s").alias("listed"))
     )
-    windows = saved(form_windows(rows.select("_row", "packed").join(listed, "_row"), length, gram), "windows")
-    flat = windows.select("name", "form", F.posexplode("hashes").alias("at", "hash"))
-    twice = flat.groupBy("name", "hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("name", "hash")
-    at_edges = (
-        flat.join(twice, ["name", "hash"], "left_semi")
-        .groupBy("name", "form")
-        .agg(F.collect_list("at").alias("places"))
-        .join(edges.filter("n = 1").select("name", "form", "one"), ["name", "form"])
-        .select("one._row", F.explode("places").alias("at"), F.col("one.first").alias("first"))
-        .select("_row", (F.col("first") + F.col("at")).alias("first"), (F.col("first") + F.col("at")).alias("last"))
+    at_edges = saved(edge_segments(rows.select("_row", "packed").join(listed, "_row"), length), "edges")
+    starts = in_small_names(at_edges.filter(F.col("n_forms") <= FORMS), length, gram).unionByName(
+        in_large_names(at_edges.filter(F.col("n_forms") > FORMS), length, gram)
     )
     whole = shared.join(forms.filter("n > 1").select("name", "form"), ["name", "form"], "left_semi")
     covered = (
         whole.select("_row", "first", "last")
-        .unionByName(at_edges)
+        .unionByName(starts.select("_row", "first", F.col("first").alias("last")))
         .groupBy("_row")
         .agg(F.collect_list(F.struct("first", "last")).alias("windows"))
     )
-    return rows.select("_row", "_id", "packed").join(covered, "_row", "left")
+    return rows.select("_row", "_id", "packed").join(saved(covered, "covered"), "_row", "left")
 
 
 def remaining(data: bytes, windows: list[dict], length: int) -> tuple[bytes, int]:

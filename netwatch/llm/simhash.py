@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netwatch.llm.links import components
-from netwatch.llm.tasks import per_text, saved
+from netwatch.llm.tasks import numbered_names, per_text, saved
 
 SEED = 42
 BITS = 64
@@ -157,8 +157,8 @@ def first_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     Rows with a NULL id all stay: none can be told from the other.
     """
     found = near_duplicates(docs, id_column, text, **options)
-    kept = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_kept")).distinct()
-    named = docs.filter(F.col(id_column).isNotNull())
-    kept_rows = named.join(kept, F.col(id_column) == F.col("_kept"), "left_semi")
-    first = kept_rows.dropDuplicates([id_column])
-    return first.unionByName(docs.filter(F.col(id_column).isNull()))
+    first = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_first")).distinct()
+    own = numbered_names(docs)
+    name = f"_c{docs.columns.index(id_column)}"
+    kept = own.join(first, F.col(name) == F.col("_first"), "left_semi").dropDuplicates([name])
+    return kept.unionByName(own.filter(F.col(name).isNull())).toDF(*docs.columns)

@@ -20,11 +20,23 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Removes the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(frame: DataFrame, label: str) -> DataFrame:
-    """The frame, written to the shared folder and read back, so that nothing before it runs again."""
+    """The frame, written to the shared folder and read back, so that nothing before it runs again.
+
+    The table is all that later steps need, so the shuffle files behind it go once it is written.
+    """
     spark = frame.sparkSession
     path = work_dir(spark, label)
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -53,6 +65,20 @@ def sliced(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[tuple[pa
         yield batch.slice(start, len(held)), held
 
 
+def numbered_names(frame: DataFrame) -> DataFrame:
+    """The frame with its columns called ``_c0``, ``_c1`` and so on, so that none clashes with another."""
+    return frame.toDF(*(f"_c{i}" for i in range(len(frame.columns))))
+
+
+def where(
+    docs: DataFrame, judge: Callable[[DataFrame, list[str], str], DataFrame], condition: str, text: str
+) -> DataFrame:
+    """The rows, with all their columns, that fulfil a condition on what ``judge`` adds to them."""
+    own = numbered_names(docs)
+    found = judge(own, own.columns, f"_c{docs.columns.index(text)}")
+    return found.filter(condition).select(*own.columns).toDF(*docs.columns)
+
+
 def per_text(
     docs: DataFrame,
     keep: list[str],
@@ -62,13 +88,15 @@ def per_text(
 ) -> DataFrame:
     """The kept columns of each row, and what a function made once per task finds in its text (bytes or None).
 
-    The function takes a list of texts and returns a list per new column of ``schema``.
+    The function takes a list of texts and returns a list per new column of ``schema``. A kept column with
+    the name of a new one is left out.
     """
-    frame = texts(docs, *keep, text=text)
     added = StructType.fromDDL(schema)
+    keep = [name for name in keep if name not in added.names]
+    frame = texts(docs, *(F.col(name).alias(f"_c{i}") for i, name in enumerate(keep)), text=text)
     out = frame.drop("_text").schema
     for field in added:
-        out = out.add(field.name, field.dataType)
+        out = out.add(f"_new_{field.name}", field.dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -78,5 +106,4 @@ def per_text(
                 arrays = part.columns[:-1] + [pa.array(found[f.name], to_arrow_type(f.dataType)) for f in added]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-    return frame.mapInArrow(run, out)
-
+    return frame.mapInArrow(run, out).toDF(*keep, *added.names)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from netwatch.llm.tasks import per_text, saved, sliced, texts
+from netwatch.llm.tasks import per_text, saved, sliced, texts, where
 
 WINDOW = 10
 K = 5
@@ -203,16 +203,17 @@ def joined(docs: DataFrame, items: DataFrame, keep: list[str], text: str, window
     """The same rows for any number of items: fingerprints are joined, then documents with theirs."""
     lengths = items.mapInArrow(_short_lengths(window), "n int").distinct()
     shorts = sorted(row.n for row in lengths.collect())  # at most window - 1 numbers
-    numbered = saved(
-        texts(docs, *keep, text=text).withColumn("_row", F.monotonically_increasing_id()), "numbered"
-    )
+    added = StructType.fromDDL(COUNTS)
+    keep = [name for name in keep if name not in added.names]
+    own = [F.col(name).alias(f"_c{i}") for i, name in enumerate(keep)]
+    held = [f"_c{i}" for i in range(len(keep))]
+    numbered = saved(texts(docs, *own, F.monotonically_increasing_id().alias("_row"), text=text), "numbered")
     theirs = items.mapInArrow(_item_prints(window, k), "print long, item string, words binary")
     ours = numbered.select("_row", "_text").mapInArrow(_prints(shorts, window, k), "print long, row long")
     pairs = ours.join(theirs, "print").select("row", "item", "words").distinct()
     lists = pairs.groupBy("row").agg(F.collect_list(F.struct("item", "words")).alias("_items"))
-    frame = numbered.join(lists, F.col("_row") == F.col("row"), "left").select(*keep, "_items", "_text")
-    out = docs.select(*keep).schema
-    added = StructType.fromDDL(COUNTS)
+    frame = numbered.join(lists, F.col("_row") == F.col("row"), "left").select(*held, "_items", "_text")
+    out = numbered.select(*held).schema
     for field in added:
         out = out.add(field.name, field.dataType)
 
@@ -229,7 +230,7 @@ def joined(docs: DataFrame, items: DataFrame, keep: list[str], text: str, window
                 arrays = [pa.array(v, kind) for v, kind in zip(found.values(), kinds)]
                 yield pa.RecordBatch.from_arrays(part.columns[:-2] + arrays, names=out.names)
 
-    return frame.mapInArrow(run, out)
+    return frame.mapInArrow(run, out).toDF(*keep, *added.names)
 
 
 def _short_lengths(window: int):
@@ -274,8 +275,4 @@ def _prints(shorts: list[int], window: int, k: int):
 
 def clean_only(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows without a hit, with all their columns."""
-    names = docs.columns
-    found = contaminated(docs, benchmark, names, text=text, **options)
-    return found.filter(F.col("n_hit") == 0).select(*names)
-
-
+    return where(docs, lambda rows, keep, name: contaminated(rows, benchmark, keep, name, **options), "n_hit = 0", text)

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for each operator."""
 
 import base64
+import functools
 import random
 import string
 
@@ -73,10 +74,15 @@ def test_bpe(docs, empty, texts):
     assert bpe.round_trip(empty, PATH, PATTERN, ["doc_id"]).count() == 0
 
 
+@functools.cache
+def both_coders():
+    return own_tiktoken(), bpe.Encoder(PATH, PATTERN)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60) | st.text("abcdefghé \n\t'sx1\x1c\x85  ", max_size=80))
 def test_bpe_fuzz(text):
-    own, coder = test_bpe_fuzz.__dict__.setdefault("pair", (own_tiktoken(), bpe.Encoder(PATH, PATTERN)))
+    own, coder = both_coders()
     assert coder.encode([text.encode()])[0] == own.encode_ordinary(text)
 
 
@@ -231,10 +237,10 @@ def test_pii_fuzz():
 
 
 def test_pii_adds_and_masks(docs, empty, spark):
-    text = "Account IBAN DE89 3700 0440 0532 0130 00 and call (743) 555-3824 now; SSN 078-05-1120. Order (743) 555-3824"
+    text = "Account IBAN DE89 3704 0044 0532 0130 00 and call (743) 555-3824 now; SSN 078-05-1120. Order (743) 555-3824"
     kinds = [pii.KINDS[s.kind] for s in pii.find_spans(text)]
     assert kinds[0] == "iban" and "ssn" in kinds and kinds.count("national_phone") >= 1
-    assert not [s for s in pii.find_spans("DE89 3700 0440 0532 0130 01") if pii.KINDS[s.kind] == "iban"]
+    assert not [s for s in pii.find_spans("DE89 3704 0044 0532 0130 01") if pii.KINDS[s.kind] == "iban"]
     masked = {r.doc_id: r for r in pii.mask_pii(docs).collect()}
     assert masked[0].text is None and masked[18].text == "<EMAIL> <PHONE> <IP>"
     assert pii.mask_pii(docs).columns == docs.columns
