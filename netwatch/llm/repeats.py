@@ -10,8 +10,7 @@ needs one in eleven and several global sorts of them; see the README.
    its place, its name, and the hash of all its bytes, its form.
 2. Segments whose name occurs once are left. Segments with a form that occurs twice are covered whole.
 3. A name with several forms is at the edge of a repeat. One segment of each form is cut into windows,
-   whose hashes are counted under the name: together for a name of few forms, each for itself for a name
-   of very many. Windows that occur twice cover their bytes.
+   whose hashes are counted under the name: together for a name of few forms, in parts for a name of very many. Windows that occur twice cover their bytes.
 
 Copies are counted before each shuffle, so that a passage in a third of all documents is one row per task.
 
@@ -35,8 +34,10 @@ LENGTH = 200
 GRAM = 32
 # Window starts of one text that are worked on at one time.
 PIECE = 1 << 19
-# Forms of one name that are compared in one row; names with more are compared window by window.
+# Forms of one name that are compared in one row; names with more are compared part by part.
 FORMS = 256
+# Windows of a form in one part, and forms of a name that share a part.
+TOGETHER, SHARED = 8, 50_000
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0xD1342543DE82EF95
@@ -171,12 +172,26 @@ def edge_segments(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("_row", "packed", "listed").mapInArrow(run, SEGMENT)
 
 
+RUNS = "_row long, first int, last int"
+
+
+def run_batch(rows: list[int], starts: list[np.ndarray]) -> pa.RecordBatch:
+    """Rising window starts of each row, as runs of successive ones."""
+    out: list[tuple] = []
+    for row, at in zip(rows, starts):
+        cuts = np.flatnonzero(np.diff(at) != 1) + 1
+        out += [(row, int(run[0]), int(run[-1])) for run in np.split(at, cuts)]
+    columns = list(zip(*out)) or [()] * 3
+    kinds = (pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["_row", "first", "last"])
+
+
 def in_small_names(segments: DataFrame, length: int, gram: int) -> DataFrame:
-    """``_row, first`` of the windows that occur twice among the forms of a name, a name at a time."""
+    """Runs of the windows that occur twice among the forms of a name, a name at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            rows, starts = [], []
             for listed in batch.column(0):
                 forms = listed.as_py()
                 hashes = [window_hashes(form["data"], length, gram) for form in forms]
@@ -184,34 +199,62 @@ def in_small_names(segments: DataFrame, length: int, gram: int) -> DataFrame:
                 twice = np.split(count[place] > 1, np.cumsum([len(h) for h in hashes])[:-1])
                 for form, found in zip(forms, twice):
                     if form["n"] == 1 and found.any():
-                        at = np.flatnonzero(found)
-                        starts.append(at + form["first"])
-                        rows.append(np.full(len(at), form["_row"]))
-            arrays = [pa.array(np.concatenate(rows)), pa.array(np.concatenate(starts).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["_row", "first"])
+                        rows.append(form["_row"])
+                        starts.append(np.flatnonzero(found) + form["first"])
+            yield run_batch(rows, starts)
 
     lists = segments.groupBy("name").agg(F.collect_list(F.struct("_row", "n", "first", "data")).alias("forms"))
-    return lists.select("forms").mapInArrow(run, "_row long, first int")
+    return lists.select("forms").mapInArrow(run, RUNS)
+
+
+PARTS = "name long, offset int, share int, rows array<long>, starts array<int>, single array<boolean>, hashes array<long>"
 
 
 def in_large_names(segments: DataFrame, length: int, gram: int) -> DataFrame:
-    """The same where a name has very many forms: windows are counted one by one, wherever they are."""
+    """The same where a name has very many forms, which do not meet in one row.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Equal windows start equally far before the name's place. So windows are dealt by that distance, and
+    in a name of more than SHARED forms by their hash too; each task sends what it has of such a part in one row.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = [window_hashes(data, length, gram) for data in batch.column(4).to_pylist()]
-            sizes = np.cumsum([0, *map(len, hashes)]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, np.int64), *hashes])
-            lists = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], lists], names=[*batch.schema.names[:4], "hashes"])
-
-    found = segments.select("name", "_row", "n", "first", "data").mapInArrow(
-        run, "name long, _row long, n long, first int, hashes array<long>"
-    )
-    flat = found.select("name", "_row", "n", "first", F.posexplode("hashes").alias("at", "hash"))
-    twice = flat.groupBy("name", "hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("name", "hash")
-    single = flat.filter("n = 1").join(twice, ["name", "hash"], "left_semi")
-    return single.select("_row", (F.col("first") + F.col("at")).alias("first"))
+            parts: dict[tuple, list[list]] = {}
+            for name, row, n, n_forms, first, data in zip(*(column.to_pylist() for column in batch.columns)):
+                found = window_hashes(data, length, gram)
+                named = np.flatnonzero(gram_hashes(data, gram).view(np.int64) == name)
+                place = int(named[named >= len(found) - 1][0])
+                shares = -(-n_forms // SHARED)
+                for at, value in enumerate(found.tolist()):
+                    part = parts.setdefault((name, (place - at) // TOGETHER, value % shares), [[], [], [], []])
+                    for column, entry in zip(part, (row, first + at, n == 1, value)):
+                        column.append(entry)
+            keys, lists = list(zip(*parts)) or [()] * 3, list(zip(*parts.values())) or [()] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int32(), *map(pa.list_, (pa.int64(), pa.int32(), pa.bool_(), pa.int64())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((*keys, *lists), kinds)], names=names)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, starts = [], []
+            for part in batch.column(0):
+                parts = part.as_py()
+                row, start, single, value = (
+                    np.array([entry for p in parts for entry in p[name]]) for name in ("rows", "starts", "single", "hashes")
+                )
+                _, place, count = np.unique(value, return_inverse=True, return_counts=True)
+                hit = (count[place] > 1) & single
+                order = np.lexsort((start[hit], row[hit]))
+                row, start = row[hit][order], start[hit][order]
+                if len(row):
+                    cuts = np.flatnonzero(np.diff(row)) + 1
+                    rows += row[np.concatenate([[0], cuts])].tolist()
+                    starts += np.split(start, cuts)
+            yield run_batch(rows, starts)
+
+    names = [column.split()[0] for column in PARTS.split(", ")]
+    dealt = segments.select("name", "_row", "n", "n_forms", "first", "data").mapInArrow(deal, PARTS)
+    lists = dealt.groupBy("name", "offset", "share").agg(F.collect_list(F.struct(*names[3:])).alias("parts"))
+    return lists.select("parts").mapInArrow(find, RUNS)
 
 
 def repeats(
@@ -224,7 +267,8 @@ def repeats(
         "_row", F.col("s.names").alias("name"), F.col("s.forms").alias("form"),
         F.col("s.firsts").alias("first"), F.col("s.lasts").alias("last"),
     )
-    common = segments.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("name")
+    counts = segments.groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
+    common = saved(counts.filter("_n > 1").select("name"), "names")  # so that the join can split a hot name
     shared = saved(segments.join(common, "name", "left_semi"), "shared")
     forms = saved(
         shared.groupBy("name", "form").agg(
@@ -246,7 +290,7 @@ def repeats(
     whole = shared.join(forms.filter("n > 1").select("name", "form"), ["name", "form"], "left_semi")
     covered = (
         whole.select("_row", "first", "last")
-        .unionByName(starts.select("_row", "first", F.col("first").alias("last")))
+        .unionByName(starts)
         .groupBy("_row")
         .agg(F.collect_list(F.struct("first", "last")).alias("windows"))
     )

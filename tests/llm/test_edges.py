@@ -175,7 +175,10 @@ def test_repeated_strings(spark, docs, empty, texts):
     assert got == [(199, 0), (250, 250), (len(ENGLISH) * 4,) * 2, (len(ENGLISH) * 4,) * 2]
 
 
-def test_repeated_strings_of_few_letters(spark):
+@pytest.mark.parametrize(("forms", "shared"), [(256, 50_000), (1, 50_000), (1, 2)])
+def test_repeated_strings_of_few_letters(spark, monkeypatch, forms, shared):
+    monkeypatch.setattr(repeats, "FORMS", forms)
+    monkeypatch.setattr(repeats, "SHARED", shared)
     rng = random.Random(3)
     rows = [(i, "".join(rng.choices("ab", k=rng.randint(0, 300)))) for i in range(40)]
     rows += [(100 + i, rows[i][1][10:] + rows[i + 1][1][:90]) for i in range(20)]
