@@ -106,7 +106,9 @@ def parse(argv: Sequence[str]) -> argparse.Namespace:
         return sub
 
     job(split, "input", "batch", "stream").add_argument("--fraction", type=float, default=0.75)
-    job(partition, "input", "base", "rejects").add_argument("--overwrite", choices=["dynamic", "static"])
+    job(partition, "input", "base", "rejects").add_argument(
+        "--overwrite", choices=["dynamic", "static"], default="dynamic"
+    )
     sub = job(replay, "input")
     sub.add_argument("--folder")
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")

@@ -10,15 +10,21 @@ from pyspark.sql import functions as F
 
 # Fixed value: how a day is spelled in a folder path.
 DAY_FOLDER = r"year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})"
+# How a time that names its day begins.
+WHOLE_DATE = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def parse_time(text: Column, fmt: str | None = None, default: dt.datetime | None = None) -> Column:
     """Text to TIMESTAMP. Unreadable text gives NULL, or ``default`` where one is given.
 
     Without ``fmt`` the text is cast, which reads both spellings of the log, ``2024-01-05T10:00:00``
-    and ``2024-01-05 10:00:00``, each with an optional fraction, and costs far less than a format.
+    and ``2024-01-05 10:00:00``, each with an optional fraction, and costs far less than a format. Text
+    must begin with a whole date: a cast alone would read ``10:00:00`` as a time of today.
     """
-    time = F.try_to_timestamp(text, F.lit(fmt)) if fmt else text.try_cast("timestamp")
+    if fmt:
+        time = F.try_to_timestamp(text, F.lit(fmt))
+    else:
+        time = F.when(text.cast("string").rlike(WHOLE_DATE), text.try_cast("timestamp"))
     return time if default is None else F.coalesce(time, F.lit(default).cast("timestamp"))
 
 

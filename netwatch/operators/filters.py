@@ -21,9 +21,12 @@ def threats_only(df: DataFrame, labels: Sequence[str] = rules.THREAT_LABELS) ->
     return df.filter(F.col("threat_label").isin(*labels))
 
 
-def failed_access(df: DataFrame) -> DataFrame:
-    """Blocked requests, and requests to any path that contains login in any case."""
-    return df.filter(F.col("request_path").ilike("%login%") | F.col("action").isin("blocked"))
+def failed_access(
+    df: DataFrame, refused: str = rules.REFUSED_ACTION, mark: str = rules.LOGIN_MARK
+) -> DataFrame:
+    """Requests with the refused action, and requests to any path that contains the login mark in any case."""
+    to_login = F.contains(F.lower("request_path"), F.lit(mark))
+    return df.filter((F.col("action") == refused) | to_login)
 
 
 def signature_rows(df: DataFrame, patterns: Sequence[str] = rules.SIGNATURES) -> DataFrame:
@@ -43,20 +46,19 @@ def above(df: DataFrame, column: str, n: float) -> DataFrame:
 def after_mark(df: DataFrame, mark: str | dt.date | None) -> DataFrame:
     """Events of days after the mark; all events when there is no mark.
 
-    Where the frame carries the day folder columns these are filtered as well, so that files of
-    older days are not read. The day writer puts an event only into the folder of its own day.
+    Where the frame carries the day folder columns, its days are those of the folders: files of older
+    days are not read, and a row whose own time is missing or wrong counts with its folder, in one run
+    as in several. Without them the day is that of the event, and rows without a time are of no day.
     """
     if mark is None:
         return df
     limit = F.lit(str(mark)).cast("date")
-    later = df.filter(event_day(F.col("event_time")) > limit)
     if all(part in df.columns for part in DAY_PARTS):
-        later = later.filter(folder_date(*(F.col(part) for part in DAY_PARTS)) > limit)
-    return later
+        return df.filter(folder_date(*(F.col(part) for part in DAY_PARTS)) > limit)
+    return df.filter(event_day(F.col("event_time")) > limit)
 
 
 def valid_days(raw: DataFrame, column: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """Splits text records into those whose time names a valid day, and the rejected rest."""
-    text = F.col(column)
-    dated = F.coalesce(text.like("%-%-%"), F.lit(False)) & parse_time(text).isNotNull()
+    dated = parse_time(F.col(column)).isNotNull()
     return raw.filter(dated), raw.filter(~dated)

@@ -8,9 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Shares a key is cut into before its versions are ranked, when many versions are kept.
-VERSION_SHARES = 4096
-
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` values of each key; the other columns settle equal ones.
@@ -39,12 +36,14 @@ def keep_versions(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: i
     Spark cuts each map task to n rows per key before the shuffle as long as n is at most
     ``spark.sql.optimizer.windowGroupLimitThreshold``. Beyond that a first ranking inside shares of
     each key does the same, so that a hot key never meets in one task as a whole. Shares go by the task
-    that read a row, as exact copies of a row would share any value computed from it.
+    that read a row, as exact copies of a row would share any value computed from it. Rows of equal
+    ``order`` are taken by their other columns, so that the same rows stay whatever the layout.
     """
-    newest_first = [F.desc(c) for c in order]
+    settled = [c for c in df.columns if c not in keys and c not in order]
+    newest_first = [F.desc(c) for c in [*order, *settled]]
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > limit:
-        share = F.pmod(F.spark_partition_id(), F.lit(VERSION_SHARES))
+        share = F.spark_partition_id()
         per_share = Window.partitionBy(*keys, "_share").orderBy(*newest_first)
         df = (
             df.withColumn("_share", share)

@@ -19,19 +19,19 @@ def serving_ip_risk(batch: DataFrame, speed: DataFrame) -> DataFrame:
     """One row per source known to either layer; the combined score is the greater of the two.
 
     ``batch`` is a reputation view and ``speed`` holds one live score per source. Both have one row
-    per source, so no key of the join is hot. Sources without an address match each other.
+    per source, so they are put one below the other and meet in a group of two; sources without an
+    address are a group too. A join that lets them match would hash both sides by another key.
     """
-    b, s = batch.alias("b"), speed.alias("s")
-    joined = b.join(s, F.col("b.source_ip").eqNullSafe(F.col("s.source_ip")), "full_outer")
-    live = F.col("s.threat_score").cast("double")
-    history = F.col("b.threat_score")
-    combined = F.greatest(F.coalesce(history, live), F.coalesce(live, history))
+    live = F.col("threat_score").cast("double")
+    both = batch.select("source_ip", "total_requests", F.col("threat_score").alias("batch_score")).unionByName(
+        speed.select("source_ip", live.alias("live_score"), "last_seen"), allowMissingColumns=True
+    )
+    measures = ("total_requests", "batch_score", "live_score", "last_seen")
+    joined = both.groupBy("source_ip").agg(*(F.max(name).alias(name) for name in measures))
+    combined = F.greatest("batch_score", "live_score")
     return joined.select(
-        F.coalesce("b.source_ip", "s.source_ip").alias("source_ip"),
-        F.col("b.total_requests").alias("total_requests"),
-        history.alias("batch_score"),
-        live.alias("live_score"),
-        F.col("s.last_seen").alias("last_seen"),
+        "source_ip",
+        *measures,
         combined.alias("risk_score"),
         is_blocked(combined, rules.HIGH_RISK).alias("is_blocked"),
     )

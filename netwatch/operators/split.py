@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from netwatch.functions.identity import row_hash
+
 SMALLEST = -(2**63)
+# Groups per rank that one pass counts and the driver reads. Splits are for a few ranks, not for
+# thousands of chunks: a pass makes at most this many groups for each.
 BINS = 4096
-# Candidates of a rank below this number are read as they are instead of being counted once more.
-FEW = 10_000
 
 
 @dataclass
@@ -93,7 +95,7 @@ def _number(
     cuts = [Cut(r, low=floors[0], high=high, size=total) for r in ranks if 0 < r < total]
     _find(rows, levels, cuts)
     if any(cut.inside for cut in cuts):
-        levels = levels + [F.xxhash64(F.lit(seed), *df.columns) for seed in (1, 2)]
+        levels = levels + [row_hash(df, df.columns, seed) for seed in (1, 2)]
         _find(rows, levels, [cut for cut in cuts if cut.inside])
 
     # Ranks at or below 0 count for every row, those from the total on for none. A cut among copies
@@ -161,10 +163,7 @@ def _find(rows: _Rows, levels: list[Column], cuts: list[Cut]) -> None:
     while True:
         open_cuts = [c for c in cuts if not c.settled(len(levels))]
         unbounded = [c for c in open_cuts if c.low is None]
-        few = [c for c in open_cuts if c.size <= FEW]
-        if few:
-            _read(rows.near(few).select(*named), few)
-        elif unbounded:
+        if unbounded:
             _bound(rows.near(unbounded).select(*named), unbounded)
         elif open_cuts:
             _count(rows.near(open_cuts).select(*named), open_cuts)
@@ -232,23 +231,6 @@ def _count(keys: DataFrame, cuts: list[Cut]) -> None:
         cut.narrow(max(cut.low, row.bin << shift), min(cut.high, ((row.bin + 1) << shift) - 1))
 
 
-def _read(keys: DataFrame, cuts: list[Cut]) -> None:
-    """Reads the few candidates that are left, as counts of equal values, and fixes all levels."""
-    slots = _slots(cuts)
-    names = keys.columns
-    rows = _numbered(keys, slots).groupBy("slot", *names).count().collect()
-    numbers = {slot: i for i, slot in enumerate(slots)}
-    for cut in cuts:
-        number = numbers[cut.slot()]
-        mine = sorted((tuple(r[n] for n in names), r["count"]) for r in rows if r.slot == number)
-        for values, count in mine:
-            if cut.rank < cut.base + count:
-                break
-            cut.base += count
-        cut.values, cut.size = list(values), count
-        cut.low = cut.high = None
-
-
 def _equal(levels: Sequence[Column], values: Sequence[int]) -> Column:
     return reduce(Column.__and__, (k == v for k, v in zip(levels, values)), F.lit(True))
 
@@ -264,8 +246,13 @@ def _after(levels: Sequence[Column], values: Sequence[int], strictly: bool) -> C
 def _copies(rows: DataFrame, cut: Cut) -> DataFrame:
     """All ``cut.size`` copies of one row, each with its own rank as ``_own``.
 
-    The one row is joined to a distributed range of ranks, so the copies are not in one task.
+    The one row is joined to a distributed range of ranks, so the copies are not in one task. That all
+    of them are copies is tested first, NULLs and nested values included.
     """
+    named = [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) for c in rows.columns]
+    ends = rows.agg(*(end(n) for n in named for end in (F.min, F.max))).first()
+    if list(ends[::2]) != list(ends[1::2]):
+        raise ValueError("different rows with equal hashes: add a column to the order")
     one = rows.limit(1).withColumn("_one", F.lit(0))
     own = rows.sparkSession.range(cut.base, cut.base + cut.size)
     own = own.select(F.col("id").alias("_own"), F.lit(0).alias("_one"))

@@ -38,6 +38,10 @@ SIGNATURE_TYPES = (
 OTHER_SIGNATURE = "signature_match"
 SIGNATURE_SCORE = 0.9
 
+# The action of a refused request, and what the path of a login contains.
+REFUSED_ACTION = "blocked"
+LOGIN_MARK = "login"
+
 # Thresholds, score scales and window lengths.
 FAILED_MIN = 5
 FAILED_SCALE = 20.0

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netwatch.functions.times import parse_time
 from netwatch.operators.filters import valid_days
 from netwatch.schema import DAY_PARTS
 
-WRITE_OPTIONS = {"csv": {"header": "true", "escape": '"'}}
+# White space around values is part of them.
+WRITE_OPTIONS = {
+    "csv": {
+        "header": "true",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+}
+LINE_BREAK = r"[\r\n]"
 
 
 def write_by_day(
@@ -17,12 +28,16 @@ def write_by_day(
 ) -> DataFrame:
     """Writes text records below ``year=/month=/day=`` and returns the rejected ones.
 
-    Values are written as they came. ``overwrite`` is None to append, ``"dynamic"`` to replace just
+    Values are written as they came. Lines of CSV cannot hold a value with a line break, so records with
+    one are rejected there, like those without a valid day. ``overwrite`` is None to append, ``"dynamic"`` to replace just
     the days present in the frame, ``"static"`` to replace the whole folder. Before the write, rows
     are brought together by day with the sizes seen at run time: small days share a task and a
     day that holds much of the data is split over several.
     """
     kept, rejected = valid_days(raw)
+    if fmt == "csv":
+        broken = reduce(Column.__or__, (F.coalesce(F.col(c).cast("string").rlike(LINE_BREAK), F.lit(False)) for c in raw.columns))
+        kept, rejected = kept.filter(~broken), rejected.unionByName(kept.filter(broken))
     time = parse_time(F.col("timestamp"))
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
     dated = kept.select("*", *(F.date_format(time, p).alias(name) for name, p in parts.items()))

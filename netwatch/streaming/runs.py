@@ -6,9 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from netwatch.functions.identity import row_hash
 from netwatch.operators.detectors import (
     AsOf,
     detect_brute_force,
@@ -40,7 +40,7 @@ def detector_tables(logs: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]
     facts = [c for c in threats.columns if c not in stamps]
     return {
         "brute_force_alerts": detect_brute_force(logs, as_of=as_of),
-        "realtime_threats": threats.withColumn("event_key", F.xxhash64(*facts)),
+        "realtime_threats": threats.withColumn("event_key", row_hash(threats, facts)),
         "data_exfil_alerts": detect_data_exfil(logs, as_of=as_of),
         "ip_threat_scores": ip_scores(logs),
     }
@@ -75,20 +75,29 @@ def run_detectors(
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     frames = detector_tables(logs, as_of)
     started = {}
-    with _settings(spark, settings):
-        for table in tables:
-            writer = frames[table].writeStream.outputMode("update")
-            writer = writer.foreachBatch(sink(table)).option("checkpointLocation", f"{checkpoint}/{table}")
-            if trigger:
-                writer = writer.trigger(**trigger)
-            started[table] = writer.start()
+    try:
+        with _settings(spark, settings):
+            for table in tables:
+                writer = frames[table].writeStream.outputMode("update")
+                writer = writer.foreachBatch(sink(table)).option("checkpointLocation", f"{checkpoint}/{table}")
+                if trigger:
+                    writer = writer.trigger(**trigger)
+                started[table] = writer.start()
+    except Exception:
+        for query in started.values():
+            query.stop()
+        raise
     return started
 
 
 def await_any(spark: SparkSession, queries: Mapping[str, StreamingQuery]) -> None:
-    """Waits until any query ends, then stops the others; a failure is raised."""
+    """Waits until any of these queries ends, then stops the others; a failure is raised.
+
+    Other queries of the session, ended or not, do not count.
+    """
     try:
-        spark.streams.awaitAnyTermination()
+        while not any(query.awaitTermination(1) for query in queries.values()):
+            pass
     finally:
         for query in queries.values():
             query.stop()

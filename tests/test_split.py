@@ -15,12 +15,10 @@ def key(row):
     return tuple((v is not None, v if v is not None else 0) for v in row[:2])
 
 
-@pytest.fixture(params=[True, False], ids=["counted", "read"])
+@pytest.fixture(params=[4, 4096])
 def passes(request, monkeypatch):
-    """Once with candidates counted down to single values, once read as soon as they are few."""
-    if request.param:
-        monkeypatch.setattr(split, "BINS", 4)
-        monkeypatch.setattr(split, "FEW", 0)
+    """With few and with many groups per pass."""
+    monkeypatch.setattr(split, "BINS", request.param)
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -85,3 +83,10 @@ def test_split_by_time_and_date(spark):
     assert tail.columns == df.columns
     with pytest.raises(TypeError):
         split.ordered_split(df, ["source_ip"])
+
+
+def test_a_cut_among_rows_whose_nulls_change_places(spark):
+    rows = [(1, "x", None)] * 3 + [(1, None, "x")] * 3
+    head, tail = split.ordered_split(spark.createDataFrame(rows, "t int, a string, b string"), ["t"], 0.5)
+    assert sorted(map(str, head.collect() + tail.collect())) == sorted(map(str, spark.createDataFrame(rows, "t int, a string, b string").collect()))
+    assert head.count() == 3
