@@ -16,7 +16,7 @@ from tests.conftest import TESTDATA
 from tests.helpers import at, logs, raw
 
 TABLES = f"{TESTDATA}/sf0.001"
-STATIC = [n for n in driver.queries() if not n.startswith(("stream_", "day_folders", "incremental"))]
+STATIC = [n for n in driver.QUERIES if not n.startswith(("stream_", "day_folders", "incremental"))]
 
 
 def plan(df):
@@ -32,7 +32,7 @@ def stored(spark, folder):
 
 @pytest.mark.parametrize("name", STATIC)
 def test_no_query_runs_python_or_a_cross_join(spark, name):
-    text = plan(driver.queries()[name](spark, TABLES))
+    text = plan(driver.QUERIES[name](spark, TABLES))
     for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas", "SinglePartition, REPARTITION"):
         assert operator not in text, operator
 
