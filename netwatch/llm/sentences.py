@@ -5,8 +5,8 @@ meet under their hash; the first is that of the smallest id, then row, then plac
 other one are removed. Sentences end at ., ! or ? before white space, and at line ends; runs of under
 ``FEWEST`` characters are too short to count as a passage. White space around sentences is not compared.
 
-Counts are made before the shuffle, and the join sees each run of a text once, so that a passage in a
-third of all documents is spread over tasks.
+Counts are made before the shuffle. The repeated hashes are a table with one row each, and adaptive execution
+splits the other side of their join where a passage stands in very many documents.
 
 Defined results: NULL and empty texts have no sentences and stay as they are; rows with equal ids are
 different texts; equal texts lose all but the first, if they are long enough.
@@ -71,8 +71,9 @@ def without_repeated_spans(
     rows = saved(frame.mapInArrow(cut, f"_row long, _id {kind}, packed binary, runs array<long>"), "runs")
     flat = rows.select("_id", "_row", F.posexplode("runs").alias("at", "hash")).filter("hash IS NOT NULL")
     place = F.struct("_id", "_row", "at")
-    again = flat.groupBy("hash").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("first")).filter("_n > 1")
-    later = flat.join(again.select("hash", "first"), "hash").filter(
+    counts = flat.groupBy("hash").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("first"))
+    again = saved(counts.filter("_n > 1").select("hash", "first"), "spans")  # so that the join can split a hot hash
+    later = flat.join(again, "hash").filter(
         (F.col("_row") != F.col("first._row")) | (F.col("at") != F.col("first.at"))
     )
     places = later.groupBy("_row").agg(F.collect_list("at").alias("places"))
