@@ -9,6 +9,14 @@ meet. In a bucket, nodes are taken from a shrinking set of those not yet reached
 spanning forest of its links, never all pairs, and a bucket whose nodes are all alike is left after one
 step. Components of the forests are those of all links.
 
+Texts with a similarity of 0.8 differ in about ten bits, too many for blocks. Where a similarity is asked for
+(``similar``), each text also has ``SAMPLES`` fingerprints of samples: the ``SAMPLED`` shingles that come first in
+as many fixed orders. Two texts of similarity s share such a sample with a probability of about s ** 3. Each group
+of equal samples, and of equal pairs of samples, is joined to three of its members, never in all pairs; links
+of more than ``FAR_BITS`` differing bits go, and those left, from blocks or samples, are checked by the exact
+similarity of the two sets of shingles. A pair can be missed that shares no sample, or shares them only in groups
+whose chosen members are unlike it.
+
 Defined results: a text without words (NULL and empty too) has fingerprint zero, which links like any
 other. Each row gives one row; rows with the same id get the class of their own text. NULL ids never
 name a class unless it has no other.
@@ -32,38 +40,131 @@ SEED = 42
 BITS = 64
 # Bits of the hashes of this many shingles are counted at one time.
 COUNTED = 1 << 14
+# Least similarity of near-duplicates, and the bits in which texts of that similarity hardly ever differ.
+SIMILAR = 0.8
+FAR_BITS = 20
+SAMPLES = 8
+SAMPLED = 3
+# Each sample has its own order: hashes are mixed with one of these, and the smallest come first.
+ORDERS = np.arange(1, SAMPLES + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+MIXER = np.uint64(0xD6E8FEB86659FD93)
 
 
-def fingerprint(text: bytes | None, size: int) -> int:
-    """A bit is 1 if it is set in over half the hashes of the shingles of ``size`` words."""
+def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
+    """The hash of each shingle of ``size`` words, repeats included."""
     words = (text or b"").lower().split()  # bytes: A-Z only, and white space of ASCII only
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     stops = np.cumsum(lengths + 1) - 1
     starts = stops - lengths
     last = max(1, len(words) - size + 1)
     spans = zip(starts[:last].tolist(), stops[min(size, len(words)) - 1 :].tolist())
-    hashed = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans), "<u8", last)
+    return np.fromiter((xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans), "<u8", last)
+
+
+def majority(hashed: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, last, COUNTED):
+    for at in range(0, len(hashed), COUNTED):
         bits = np.unpackbits(hashed[at : at + COUNTED].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return sum(1 << bit for bit in np.flatnonzero(2 * ones > last).tolist())
+    return sum(1 << bit for bit in np.flatnonzero(2 * ones > len(hashed)).tolist())
+
+
+def fingerprint(text: bytes | None, size: int) -> int:
+    """The fingerprint of the text's shingles of ``size`` words."""
+    return majority(shingle_hashes(text, size))
+
 
+def sample_fingerprints(hashed: np.ndarray) -> np.ndarray:
+    """The fingerprint of each sample of the different hashes; the same for all orders of the shingles."""
+    different = np.unique(hashed)
+    best = np.empty((SAMPLES, 0), np.uint64)
+    for at in range(0, len(different), COUNTED):
+        mixed = (different[None, at : at + COUNTED] ^ ORDERS) * MIXER
+        best = np.concatenate([best, mixed ^ (mixed >> np.uint64(32))], axis=1)
+        if best.shape[1] > SAMPLED:
+            best = np.partition(best, SAMPLED - 1, axis=1)[:, :SAMPLED]
+    bits = np.unpackbits(np.ascontiguousarray(best).view(np.uint8).reshape(SAMPLES, -1, 8), axis=2, bitorder="little")
+    over = (2 * bits.sum(axis=1, dtype=np.int64) > best.shape[1]).astype(np.uint8)
+    return np.packbits(over, axis=1, bitorder="little").view(np.int64)[:, 0]
 
-def fingerprints(docs: DataFrame, keep: list[str], size: int, text: str = "text") -> DataFrame:
-    """The kept columns and ``fp``, the fingerprint as a signed long."""
+
+def fingerprints(docs: DataFrame, keep: list[str], size: int, text: str = "text", samples: bool = False) -> DataFrame:
+    """The kept columns and ``fp``, the fingerprint as a signed long; with ``samples`` those of the samples too."""
 
     def make() -> Callable[[list], dict[str, list]]:
         def work(values: list) -> dict[str, list]:
-            found = np.array([fingerprint(value, size) for value in values], np.uint64)
-            return {"fp": found.view(np.int64)}
+            hashed = [shingle_hashes(value, size) for value in values]
+            out = {"fp": np.array([majority(h) for h in hashed], np.uint64).view(np.int64)}
+            if samples:
+                out["samples"] = [sample_fingerprints(h) for h in hashed]
+            return out
 
         return work
 
-    return per_text(docs, keep, "fp long", make, text)
+    return per_text(docs, keep, "fp long, samples array<long>" if samples else "fp long", make, text)
+
+
+def sample_links(nodes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` from members of each group of equal samples, or of equal pairs of samples, to all others.
+
+    Those with ``again`` false come from the smallest fingerprint of a group. The others come from the first and
+    the last member in an order of the group's own, so that texts which are not alike to one member of their
+    groups meet by way of another.
+    """
+    sample = [F.col("samples")[i] for i in range(SAMPLES)]
+    alone = [F.xxhash64(F.lit(i), one) for i, one in enumerate(sample)]
+    paired = [F.xxhash64(F.lit(i), one, other) for i, (one, other) in enumerate(zip(sample, sample[1:] + sample[:1]))]
+    filed = nodes.select("fp", F.explode(F.array_distinct(F.array(*alone, *paired))).alias("key"))
+    place = F.xxhash64("key", "fp")
+    groups = filed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("fp").alias("smallest"),
+        F.min_by("fp", place).alias("first"),
+        F.max_by("fp", place).alias("last"),
+    )
+    groups = saved(groups.filter("_n > 1").drop("_n"), "groups")  # so that the join can split a hot group
+    heads = F.array(*(F.struct(F.col(c).alias("head"), F.lit(c != "smallest").alias("again")) for c in groups.columns[1:]))
+    links = filed.join(groups, "key").select("fp", F.explode(heads).alias("h")).select("fp", "h.*")
+    links = links.filter(F.col("fp") != F.col("head"))
+    links = links.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("head"))) <= FAR_BITS)
+    ends = F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b")
+    return links.groupBy(*ends).agg(F.min("again").alias("again"))
+
+
+def similar_links(
+    links: DataFrame, nodes: DataFrame, docs: DataFrame, id_column: str, text: str, size: int, similar: float
+) -> DataFrame:
+    """The links whose ends have sets of shingles that share at least ``similar`` of their union.
+
+    The set of an end is that of the text which gives its class its name. An end without an id keeps no link.
+    """
+    ends = links.select(F.explode(F.array("a", "b")).alias("end")).distinct()
+    named = saved(nodes.join(ends, F.col("fp") == F.col("end")).select("end", "first"), "ends")
+    own = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_own"))
+    asked = own.join(named.select("first").distinct(), F.col("_id") == F.col("first"), "left_semi")
+
+    def make() -> Callable[[list], dict[str, list]]:
+        def work(values: list) -> dict[str, list]:
+            hashed = [shingle_hashes(value, size) for value in values]
+            return {
+                "fp": np.array([majority(h) for h in hashed], np.uint64).view(np.int64),
+                "shingles": [np.unique(h).view(np.int64) for h in hashed],
+            }
+
+        return work
+
+    found = per_text(asked, ["_id"], "fp long, shingles array<long>", make, "_own")
+    found = found.join(named, (F.col("fp") == F.col("end")) & (F.col("_id") == F.col("first")))
+    sets = saved(found.select("end", "shingles").dropDuplicates(["end"]), "shingles")
+    one = sets.select(F.col("end").alias("a"), F.col("shingles").alias("_of_a"))
+    other = sets.select(F.col("end").alias("b"), F.col("shingles").alias("_of_b"))
+    both = F.size(F.array_intersect("_of_a", "_of_b"))
+    union = F.size("_of_a") + F.size("_of_b") - both
+    return links.join(one, "a").join(other, "b").filter(both >= similar * union).select("a", "b")
 
 
 def block_keys(fp: Column, blocks: int, most: int) -> Column:
@@ -132,15 +233,40 @@ def bucket_links(sorted_rows: DataFrame, most: int) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long")
 
 
+def unjoined(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links between different components; a node without a label is a component of its own."""
+    for end in ("a", "b"):
+        label = labels.select(F.col("node").alias(end), F.col("label").alias(f"_of_{end}"))
+        links = links.join(label, end, "left").withColumn(f"_of_{end}", F.coalesce(f"_of_{end}", end))
+    return saved(links.filter("_of_a != _of_b").select("a", "b"), "unjoined")
+
+
 def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = 5, most: int = 4, blocks: int = 7
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    most: int = 4,
+    blocks: int = 7,
+    similar: float | None = None,
 ) -> DataFrame:
-    """``id_column``, ``fp`` and ``component_id``, the smallest id of each row's class, for each row."""
-    rows = saved(fingerprints(docs, [id_column], size, text), "fingerprints")
-    nodes = saved(rows.groupBy("fp").agg(F.min(id_column).alias("first")), "nodes")
+    """``id_column``, ``fp`` and ``component_id``, the smallest id of each row's class, for each row.
+
+    Without ``similar`` fingerprints link at ``most`` differing bits or fewer; with it, texts at that similarity.
+    """
+    rows = saved(fingerprints(docs, [id_column], size, text, similar is not None), "fingerprints")
+    sampled = [F.min("samples").alias("samples")] if similar is not None else []
+    nodes = saved(rows.groupBy("fp").agg(F.min(id_column).alias("first"), *sampled), "nodes")
     filed = nodes.select("fp", F.explode(block_keys(F.col("fp"), blocks, most)).alias("key"))
     filed = filed.select("key.choice", "key.bits", "fp").repartition("choice", "bits")
     links = bucket_links(filed.sortWithinPartitions("choice", "bits"), most).distinct()
+    if similar is not None:
+        sampled_links = saved(sample_links(nodes), "links")
+        links = links.unionByName(sampled_links.filter("NOT again").select("a", "b")).distinct()
+        links = saved(similar_links(links, nodes, docs, id_column, text, size, similar), "similar")
+        # Most links of a large class join what is joined already, and need no check.
+        open_links = unjoined(sampled_links.filter("again").select("a", "b"), components(links))
+        links = links.unionByName(similar_links(open_links, nodes, docs, id_column, text, size, similar))
     joined = components(links)
     classes = nodes.join(joined, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
@@ -152,11 +278,11 @@ def near_duplicates(
 
 
 def first_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The row with the smallest id of each class, whole; of rows with that same id one stays.
+    """The row with the smallest id of each class of texts at ``SIMILAR`` or more, whole; of rows with that id one stays.
 
     Rows with a NULL id all stay: none can be told from the other.
     """
-    found = near_duplicates(docs, id_column, text, **options)
+    found = near_duplicates(docs, id_column, text, **{"similar": SIMILAR} | options)
     first = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_first")).distinct()
     own = numbered_names(docs)
     name = f"_c{docs.columns.index(id_column)}"

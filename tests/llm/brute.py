@@ -123,6 +123,31 @@ def simhash_classes(rows, size, most):
     return [(doc_id, f"{f:016x}", min(first[find(f)], default=None)) for (doc_id, _), f in zip(rows, fps)]
 
 
+def shingles(text, size):
+    words = lower(text or "").encode().split()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def similar_classes(rows, size, similar):
+    """rows: (id, text). The smallest id of each class of texts joined by their similarity, all pairs compared."""
+    sets = [shingles(text, size) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= similar * len(a | b):
+                root[find(i)] = find(j)
+    first = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        first[find(i)].append(doc_id)
+    return [(doc_id, min(first[find(i)])) for i, (doc_id, _) in enumerate(rows)]
+
+
 BENCH_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

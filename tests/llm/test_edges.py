@@ -264,6 +264,47 @@ def test_simhash(spark, docs, empty, texts):
     assert sorted(r.doc_id or 0 for r in simhash.first_of_each(twins).collect()) == [0, 0, 5]
 
 
+def near_copies():
+    """Texts with some words replaced, a passage that all texts share, and a chain of copies of copies."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=6)) for _ in range(3_000)]
+    shared = rng.choices(words, k=60)
+    out = []
+    for _ in range(40):
+        base = shared + rng.choices(words, k=200)
+        out.append(base)
+        for changed in (1, 3, 5, 8, 20):
+            copy = list(base)
+            for at in rng.sample(range(60, 260), changed):
+                copy[at] = "new"
+            out.append(copy)
+    for _ in range(6):
+        out.append([*out[-1]])
+        out[-1][rng.randrange(60, 260)] = "link"
+    return [" ".join(text) for text in out]
+
+
+def test_texts_of_a_similarity_meet(spark, docs, empty, texts):
+    rows = list(enumerate(near_copies()))
+    expected = brute.similar_classes(rows, 5, 0.8)
+    assert 40 < len({label for _, label in expected}) < len(rows) / 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(simhash.near_duplicates(frame, similar=0.8), "doc_id", "component_id") == expected
+    kept = sorted(r.doc_id for r in simhash.first_of_each(frame).collect())
+    assert kept == sorted({label for _, label in expected})
+    edges = found(simhash.near_duplicates(docs, similar=0.8), "doc_id", "component_id")
+    assert edges == brute.similar_classes(list(enumerate(texts)), 5, 0.8)
+    assert simhash.near_duplicates(empty, similar=0.8).count() == 0
+
+
+def test_samples_do_not_depend_on_order():
+    hashed = np.random.default_rng(3).integers(0, 1 << 63, 40_000).astype(np.uint64)
+    one = simhash.sample_fingerprints(hashed)
+    assert (one == simhash.sample_fingerprints(np.concatenate([hashed[::-1], hashed]))).all()
+    assert len(set(one.tolist())) == simhash.SAMPLES
+    assert (simhash.sample_fingerprints(hashed[:0]) == 0).all()
+
+
 def test_simhash_blocks_lose_no_link(spark):
     rng = random.Random(8)
     base = [rng.getrandbits(64) for _ in range(30)]
