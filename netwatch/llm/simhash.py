@@ -262,11 +262,15 @@ def near_duplicates(
     links = bucket_links(filed.sortWithinPartitions("choice", "bits"), most).distinct()
     if similar is not None:
         sampled_links = saved(sample_links(nodes), "links")
-        links = links.unionByName(sampled_links.filter("NOT again").select("a", "b")).distinct()
+        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        links = links.select(*ends).unionByName(sampled_links.filter("NOT again").select("a", "b")).distinct()
         links = saved(similar_links(links, nodes, docs, id_column, text, size, similar), "similar")
-        # Most links of a large class join what is joined already, and need no check.
-        open_links = unjoined(sampled_links.filter("again").select("a", "b"), components(links))
-        links = links.unionByName(similar_links(open_links, nodes, docs, id_column, text, size, similar))
+        # One link of each node to a smaller one joins most of a class; of the others only those that join more are kept.
+        parents = saved(links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "parents")
+        labels = components(parents)
+        again = unjoined(sampled_links.filter("again").select("a", "b"), labels)
+        more = similar_links(again, nodes, docs, id_column, text, size, similar)
+        links = parents.unionByName(unjoined(links, labels)).unionByName(more)
     joined = components(links)
     classes = nodes.join(joined, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
