@@ -163,6 +163,21 @@ def test_lm_scores(docs, empty, texts):
     assert {r.n_known for r in untrained} == {0}
 
 
+def test_text_as_context(monkeypatch):
+    rng = np.random.default_rng(1)
+    at = rng.integers(0, 6, 50)
+    logs, share = np.log10(rng.uniform(0.01, 0.3, (6, 3))), np.array([0.5, 0.3, 0.2])
+    by_lang = [1.0] * 3
+    for i, one in enumerate(at.tolist()):
+        weight = mixing.RECENT_MOST * i / (i + mixing.RECENT_HALF)
+        recent = at[:i].tolist().count(one) / max(i, 1)
+        by_lang = [p * ((1 - weight) * 10 ** logs[one, k] + weight * recent) for k, p in enumerate(by_lang)]
+    expected = np.log10(np.dot(share, by_lang))
+    assert abs(mixing.text_log10(at, logs, share) - expected) < 1e-9
+    monkeypatch.setattr(mixing, "TOKENS_AT_ONCE", 7)
+    assert abs(mixing.text_log10(at, logs, share) - expected) < 1e-9
+
+
 def test_repeated_strings(spark, docs, empty, texts):
     for length, gram in ((200, 32), (12, 4)):
         got = repeats.without_repeats(docs.filter("doc_id not in (12, 13)"), length=length, gram=gram)

@@ -66,6 +66,12 @@ def test_lm_scores(spark, texts):
     assert sum(r.score for r in train) > sum(r.base_score for r in train)
 
 
+def test_lm_scores_on_held_out_rows(spark):
+    """A thousand documents; the hundred of the smaller table are too few to beat the base."""
+    found = driver.queries()["op4_lm_scores"](spark, "/root/testdata/sf0.01").filter("held_out").collect()
+    assert sum(r.score for r in found) > sum(r.base_score for r in found)
+
+
 def test_suffix_dedup(spark, texts):
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert result(spark, "op5_suffix_dedup", *columns) == sorted(brute.repeated_strings(texts, 200))
