@@ -165,17 +165,20 @@ def test_lm_scores(docs, empty, texts):
 
 def test_text_as_context(monkeypatch):
     rng = np.random.default_rng(1)
-    at = rng.integers(0, 6, 50)
-    logs, share = np.log10(rng.uniform(0.01, 0.3, (6, 3))), np.array([0.5, 0.3, 0.2])
-    by_lang = [1.0] * 3
-    for i, one in enumerate(at.tolist()):
-        weight = mixing.RECENT_MOST * i / (i + mixing.RECENT_HALF)
-        recent = at[:i].tolist().count(one) / max(i, 1)
-        by_lang = [p * ((1 - weight) * 10 ** logs[one, k] + weight * recent) for k, p in enumerate(by_lang)]
-    expected = np.log10(np.dot(share, by_lang))
-    assert abs(mixing.text_log10(at, logs, share) - expected) < 1e-9
-    monkeypatch.setattr(mixing, "TOKENS_AT_ONCE", 7)
-    assert abs(mixing.text_log10(at, logs, share) - expected) < 1e-9
+    own = [rng.integers(0, 6, n) for n in (1, 9, 50, 2, 2, 11)]
+    prices, share = rng.uniform(0.01, 0.3, (6, 3)), np.array([0.5, 0.3, 0.2])
+    expected = []
+    for at in own:
+        by_lang = [1.0] * 3
+        for i, one in enumerate(at.tolist()):
+            weight = mixing.RECENT_MOST * i / (i + mixing.RECENT_HALF)
+            recent = at[:i].tolist().count(one) / max(i, 1)
+            by_lang = [p * ((1 - weight) * prices[one, k] + weight * recent) for k, p in enumerate(by_lang)]
+        expected.append(np.log10(np.dot(share, by_lang)))
+    for size in (1 << 16, 12):
+        monkeypatch.setattr(mixing, "TOKENS_AT_ONCE", size)
+        got = [score for block in mixing.in_blocks(own) for score in mixing.texts_log10(block, prices, share)]
+        assert np.allclose(got, expected, rtol=1e-12)
 
 
 def test_repeated_strings(spark, docs, empty, texts):
