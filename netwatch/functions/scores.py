@@ -22,6 +22,16 @@ def capped_score(amount: Column, scale: float) -> Column:
     return F.least(F.lit(1.0), (amount / scale).cast("float"))
 
 
+def wide_sum(amounts: Column) -> Column:
+    """Aggregate: the sum as BIGINT, which stays at the ends of BIGINT instead of raising beyond them.
+
+    Without amounts it is NULL.
+    """
+    most, least = 2**63 - 1, -(2**63)
+    exact = F.sum(amounts.cast("decimal(19,0)"))
+    return F.when(exact > most, F.lit(most)).when(exact < least, F.lit(least)).otherwise(exact.cast("bigint"))
+
+
 def label_tenths(label: Column) -> Column:
     """Label weight in tenths, as INT: sums of these are exact in any order."""
     weight = F.lit(rules.OTHER_TENTHS)

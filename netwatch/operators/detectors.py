@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from netwatch import rules
 from netwatch.functions.matching import signature_type
-from netwatch.functions.scores import capped_score, is_blocked, mean_weight
+from netwatch.functions.scores import capped_score, is_blocked, mean_weight, wide_sum
 from netwatch.functions.times import stamp
 from netwatch.operators.filters import above, at_least, failed_access, signature_rows
 
@@ -52,7 +52,7 @@ def detect_data_exfil(
     as_of: AsOf = None,
 ) -> DataFrame:
     """Sources that move more than ``threshold`` bytes in a window."""
-    volumes = per_source(logs, window, F.sum("bytes_transferred").alias("total_bytes"))
+    volumes = per_source(logs, window, wide_sum(F.col("bytes_transferred")).alias("total_bytes"))
     return above(volumes, "total_bytes", threshold).select(
         "source_ip",
         "window_start",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netwatch import rules
-from netwatch.functions.scores import risk_level, threat_ratio
+from netwatch.functions.scores import risk_level, threat_ratio, wide_sum
 from netwatch.functions.text import port_number, row_key
 from netwatch.functions.times import event_day, hour_bucket, lit_day, stamp
 from netwatch.operators.enrich import classify_attack
@@ -83,7 +83,7 @@ def threat_timeline(logs: DataFrame, with_bytes: bool = True) -> DataFrame:
     """Events per hour and label, with the bytes they moved."""
     measures = [F.count(F.lit(1)).alias("event_count")]
     if with_bytes:
-        measures.append(F.sum("bytes_transferred").cast("double").alias("total_bytes"))
+        measures.append(wide_sum(F.col("bytes_transferred")).cast("double").alias("total_bytes"))
     hourly = logs.groupBy(hour_bucket(F.col("event_time")).alias("hour"), "threat_label")
     return hourly.agg(*measures).withColumn("row_key", row_key(F.col("threat_label"), F.col("hour")))
 
@@ -112,7 +112,7 @@ def count_views(
         F.grouping_id().cast("int").alias("view"),
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("is_threat")).alias("threats"),
-        F.sum("bytes_transferred").alias("bytes"),
+        wide_sum(F.col("bytes_transferred")).alias("bytes"),
         F.max(stamp(as_of)).alias("processed_at"),
     )
 
@@ -129,13 +129,13 @@ def top_ips(logs: DataFrame, n: int = 10, label: str = "malicious") -> DataFrame
 
 
 def volume_analysis(logs: DataFrame) -> DataFrame:
-    """Data volume per threat label. The mean is a quotient of exact sums."""
+    """Data volume per threat label. The mean is a quotient of the sum and a count."""
     size = F.col("bytes_transferred")
     return (
         logs.groupBy("threat_label")
         .agg(
             F.count(F.lit(1)).alias("event_count"),
-            F.sum(size).alias("total_bytes"),
+            wide_sum(size).alias("total_bytes"),
             F.max(size).alias("max_bytes"),
             F.count(size).alias("_sized"),
         )

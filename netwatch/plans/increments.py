@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netwatch import rules
+from netwatch.functions.scores import wide_sum
 from netwatch.functions.text import row_key
 from netwatch.functions.times import day_of_folder
 from netwatch.operators.days import days_after, list_days
@@ -131,7 +132,7 @@ def merged_timeline(spark: SparkSession, state: str) -> DataFrame:
         .groupBy("hour", "threat_label")
         .agg(
             F.sum("events").alias("event_count"),
-            F.sum("bytes").cast("double").alias("total_bytes"),
+            wide_sum(F.col("bytes")).cast("double").alias("total_bytes"),
         )
     )
     return merged.withColumn("row_key", row_key(F.col("threat_label"), F.col("hour")))

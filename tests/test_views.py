@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from netwatch import rules
-from netwatch.operators import days, serving, shaping, views
+from netwatch.operators import days, detectors, serving, shaping, views
 from tests.helpers import at, logs, values
 
 
@@ -122,3 +122,12 @@ def test_points_keep_types_and_drop_nulls(spark):
     # A DATE serves as time as well, and without fields of a type the map is empty.
     dated = shaping.to_points(frame.withColumn("t", F.to_date("t")), "m", [], [], "t", as_of="2024-02-01")
     assert dated.schema["time"].dataType.typeName() == "timestamp" and dated.first().longs == {}
+
+
+def test_sums_beyond_bigint(spark):
+    most = 2**63 - 1
+    rows = logs(spark, *[{"bytes_transferred": most, "threat_label": "malicious"}] * 2)
+    assert values(views.threat_timeline(rows), "total_bytes") == [(float(most),)]
+    assert values(views.volume_analysis(rows), "total_bytes", "max_bytes") == [(most, most)]
+    assert values(views.count_views(rows), "bytes") == [(most,)] * 3
+    assert values(detectors.detect_data_exfil(rows), "total_bytes", "threat_score") == [(most, 1.0)]
