@@ -10,12 +10,13 @@ spanning forest of its links, never all pairs, and a bucket whose nodes are all
 step. Components of the forests are those of all links.
 
 Texts with a similarity of 0.8 differ in about ten bits, too many for blocks. Where a similarity is asked for
-(``similar``), each text also has ``SAMPLES`` fingerprints of samples: the ``SAMPLED`` shingles that come first in
-as many fixed orders. Two texts of similarity s share such a sample with a probability of about s ** 3. Each group
-of equal samples, and of equal pairs of samples, is joined to three of its members, never in all pairs; links
-of more than ``FAR_BITS`` differing bits go, and those left, from blocks or samples, are checked by the exact
-similarity of the two sets of shingles. A pair can be missed that shares no sample, or shares them only in groups
-whose chosen members are unlike it.
+(``similar``), nodes are equal sets of shingles, and links are found in two passes, each checked by the exact similarity
+of the two sets. The first joins large classes early: each text has ``SAMPLES`` fingerprints of samples, the ``SAMPLED``
+shingles that come first in as many fixed orders, and each group of equal samples, and of equal pairs of samples, is
+joined to three of its members. The second is complete: shingles have one order, those frequent in a part of the
+texts last, and two sets of n shingles or fewer that are similar enough share one of their first
+n - ceil(similar * n) + 1. Nodes of different classes that share one meet, unless their sizes or the parities
+of their shingles in ``PARITIES`` bits show that they differ too much; neither bound ever drops a similar pair.
 
 Defined results: a text without words (NULL and empty too) has fingerprint zero, which links like any
 other. Each row gives one row; rows with the same id get the class of their own text. NULL ids never
@@ -24,6 +25,7 @@ name a class unless it has no other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -40,9 +42,12 @@ SEED = 42
 BITS = 64
 # Bits of the hashes of this many shingles are counted at one time.
 COUNTED = 1 << 14
-# Least similarity of near-duplicates, and the bits in which texts of that similarity hardly ever differ.
+# Least similarity of near-duplicates.
 SIMILAR = 0.8
-FAR_BITS = 20
+# Frequent shingles are those that ``OFTEN`` texts or more of one in ``PART`` hold, the ``MOST_FREQUENT`` first of them. They
+# decide how many pairs meet, never which links are found.
+PART, OFTEN, MOST_FREQUENT = 16, 8, 100_000
+PARITIES = 512
 SAMPLES = 8
 SAMPLED = 3
 # Each sample has its own order: hashes are mixed with one of these, and the smallest come first.
@@ -92,49 +97,166 @@ def sample_fingerprints(hashed: np.ndarray) -> np.ndarray:
     return np.packbits(over, axis=1, bitorder="little").view(np.int64)[:, 0]
 
 
-def fingerprints(docs: DataFrame, keep: list[str], size: int, text: str = "text", samples: bool = False) -> DataFrame:
-    """The kept columns and ``fp``, the fingerprint as a signed long; with ``samples`` those of the samples too."""
+def fingerprints(docs: DataFrame, keep: list[str], size: int, text: str = "text") -> DataFrame:
+    """The kept columns and ``fp``, the fingerprint as a signed long."""
+
+    def make() -> Callable[[list], dict[str, list]]:
+        return lambda values: {"fp": np.array([fingerprint(value, size) for value in values], np.uint64).view(np.int64)}
+
+    return per_text(docs, keep, "fp long", make, text)
+
+
+def frequent_shingles(docs: DataFrame, size: int, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes, in their order, of shingles frequent in a part of the texts, and their counts there."""
+    part = docs.filter(F.pmod(F.xxhash64(F.col(text).cast("binary")), F.lit(PART)) == 0)
+
+    def make() -> Callable[[list], dict[str, list]]:
+        return lambda values: {"shingles": [np.unique(shingle_hashes(v, size)).view(np.int64) for v in values]}
+
+    each = per_text(part, [], "shingles array<long>", make, text).select(F.explode("shingles").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= OFTEN)
+    found = counts.orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toArrow()
+    hashes = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found.column("n").to_numpy()[order]
+
+
+def digest(different: np.ndarray) -> bytes:
+    """The name of a sorted set of hashes."""
+    return xxhash.xxh3_128_digest(different.tobytes())
+
+
+def parities(different: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of hashes falls on each. Two sets differ in at least as many hashes as bits."""
+    odd = np.bincount((different % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def prefix(different: np.ndarray, similar: float, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first hashes in the common order, of which sets that are similar enough share one."""
+    n = len(different)
+    weight = np.zeros(n, np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, different), len(frequent) - 1)
+        weight = np.where(frequent[at] == different, counts[at], 0)
+    most = n - math.ceil(similar * n - 1e-6) + 1 if n else 0
+    return different[np.lexsort((different, weight))[:most]]
+
+
+def with_sets(docs: DataFrame, keep: list[str], size: int, text: str, similar: float) -> DataFrame:
+    """The kept columns, the fingerprint, and what is known of the set of shingles: its name, size and so on."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size, text))
 
     def make() -> Callable[[list], dict[str, list]]:
         def work(values: list) -> dict[str, list]:
             hashed = [shingle_hashes(value, size) for value in values]
-            out = {"fp": np.array([majority(h) for h in hashed], np.uint64).view(np.int64)}
-            if samples:
-                out["samples"] = [sample_fingerprints(h) for h in hashed]
-            return out
+            sets = [np.unique(h) for h in hashed]
+            return {
+                "fp": np.array([majority(h) for h in hashed], np.uint64).view(np.int64),
+                "digest": [digest(s) for s in sets],
+                "n": [len(s) for s in sets],
+                "samples": [sample_fingerprints(s) for s in sets],
+                "parity": [parities(s) for s in sets],
+                "prefix": [prefix(s, similar, *shared.value).view(np.int64) for s in sets],
+            }
 
         return work
 
-    return per_text(docs, keep, "fp long, samples array<long>" if samples else "fp long", make, text)
+    kinds = "fp long, digest binary, n long, samples array<long>, parity array<long>, prefix array<long>"
+    return per_text(docs, keep, kinds, make, text)
 
 
 def sample_links(nodes: DataFrame) -> DataFrame:
     """Links ``(a, b)`` from members of each group of equal samples, or of equal pairs of samples, to all others.
 
-    Those with ``again`` false come from the smallest fingerprint of a group. The others come from the first and
+    Those with ``again`` false come from the smallest node of a group. The others come from the first and
     the last member in an order of the group's own, so that texts which are not alike to one member of their
     groups meet by way of another.
     """
     sample = [F.col("samples")[i] for i in range(SAMPLES)]
     alone = [F.xxhash64(F.lit(i), one) for i, one in enumerate(sample)]
     paired = [F.xxhash64(F.lit(i), one, other) for i, (one, other) in enumerate(zip(sample, sample[1:] + sample[:1]))]
-    filed = nodes.select("fp", F.explode(F.array_distinct(F.array(*alone, *paired))).alias("key"))
-    place = F.xxhash64("key", "fp")
+    filed = nodes.select("node", F.explode(F.array_distinct(F.array(*alone, *paired))).alias("key"))
+    place = F.xxhash64("key", "node")
     groups = filed.groupBy("key").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.min("fp").alias("smallest"),
-        F.min_by("fp", place).alias("first"),
-        F.max_by("fp", place).alias("last"),
+        F.min("node").alias("smallest"),
+        F.min_by("node", place).alias("first"),
+        F.max_by("node", place).alias("last"),
     )
     groups = saved(groups.filter("_n > 1").drop("_n"), "groups")  # so that the join can split a hot group
     heads = F.array(*(F.struct(F.col(c).alias("head"), F.lit(c != "smallest").alias("again")) for c in groups.columns[1:]))
-    links = filed.join(groups, "key").select("fp", F.explode(heads).alias("h")).select("fp", "h.*")
-    links = links.filter(F.col("fp") != F.col("head"))
-    links = links.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("head"))) <= FAR_BITS)
-    ends = F.least("fp", "head").alias("a"), F.greatest("fp", "head").alias("b")
+    links = filed.join(groups, "key").select("node", F.explode(heads).alias("h")).select("node", "h.*")
+    links = links.filter(F.col("node") != F.col("head"))
+    ends = F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")
     return links.groupBy(*ends).agg(F.min("again").alias("again"))
 
 
+def not_too_far(links: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """The links but those that sizes or parities show to be too far apart."""
+    for end in ("a", "b"):
+        known = nodes.select(F.col("node").alias(end), F.col("n").alias(f"_n_{end}"), F.col("parity").alias(f"_p_{end}"))
+        links = links.join(known, end)
+    apart = sum(F.bit_count(F.col("_p_a")[i].bitwiseXOR(F.col("_p_b")[i])) for i in range(PARITIES // 64))
+    most = (F.col("_n_a") + F.col("_n_b")) * ((1 - similar) / (1 + similar)) + 1e-6
+    alike = F.least("_n_a", "_n_b") >= F.greatest("_n_a", "_n_b") * similar - 1e-6
+    return links.filter(alike & (apart <= most)).select("a", "b")
+
+
+def prefix_links(nodes: DataFrame, labels: DataFrame, similar: float) -> DataFrame:
+    """All pairs ``(a, b)`` of nodes of different classes that may be similar: they share one of their first shingles."""
+    label = labels.select(F.col("node").alias("_node"), "label")
+    own = nodes.join(label, F.col("node") == F.col("_node"), "left").drop("_node")
+    own = saved(own.select("node", F.coalesce("label", "node").alias("label"), "n", "parity", "prefix"), "labelled")
+    filed = own.select(F.explode("prefix").alias("key"), "node", "label")
+    ends = filed.groupBy("key").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
+    asked = saved(ends.filter("_least < _most").select("key"), "keys")  # keys of one class join nothing
+    met = saved(filed.join(asked, "key"), "met").join(own.select("node", "n", "parity"), "node")
+    parts = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITIES // 64)]
+    rows = met.select("key", "n", "node", "label", *parts).repartition("key").sortWithinPartitions("key", "n")
+    rate = (1 - similar) / (1 + similar)
+
+    def pairs(held: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        n, node, label, *parity = np.concatenate(held, axis=1)
+        bits = np.array(parity).T.view(np.uint64)
+        stops = np.searchsorted(n, n / similar + 1e-6, "right")
+        a, b = [], []
+        for i in range(len(n) - 1):
+            there = slice(i + 1, stops[i])
+            other = np.flatnonzero(label[there] != label[i]) + i + 1
+            apart = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            other = other[apart <= rate * (n[other] + n[i]) + 1e-6]
+            a.append(np.minimum(node[i], node[other]))
+            b.append(np.maximum(node[i], node[other]))
+        return a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        key = None
+        for batch in batches:
+            cells = np.array([column.to_numpy() for column in batch.columns])
+            if not batch.num_rows:
+                continue
+            cuts = np.flatnonzero(np.diff(cells[0])) + 1
+            found: tuple[list, list] = ([], [])
+            for block in np.split(cells, cuts, axis=1):
+                if key is not None and block[0, 0] != key:
+                    for out, new in zip(found, pairs(held)):
+                        out += new
+                    held = []
+                key = block[0, 0]
+                held.append(block[1:])
+            yield edges(found)
+        if held:
+            yield edges(pairs(held))
+
+    def edges(found: tuple[list, list]) -> pa.RecordBatch:
+        none = np.empty(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *end])) for end in found], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
 def similar_links(
     links: DataFrame, nodes: DataFrame, docs: DataFrame, id_column: str, text: str, size: int, similar: float
 ) -> DataFrame:
@@ -143,22 +265,20 @@ def similar_links(
     The set of an end is that of the text which gives its class its name. An end without an id keeps no link.
     """
     ends = links.select(F.explode(F.array("a", "b")).alias("end")).distinct()
-    named = saved(nodes.join(ends, F.col("fp") == F.col("end")).select("end", "first"), "ends")
+    asked_nodes = nodes.join(ends, F.col("node") == F.col("end"))
+    named = saved(asked_nodes.select("end", "first", F.col("digest").alias("_digest")), "ends")
     own = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_own"))
     asked = own.join(named.select("first").distinct(), F.col("_id") == F.col("first"), "left_semi")
 
     def make() -> Callable[[list], dict[str, list]]:
         def work(values: list) -> dict[str, list]:
-            hashed = [shingle_hashes(value, size) for value in values]
-            return {
-                "fp": np.array([majority(h) for h in hashed], np.uint64).view(np.int64),
-                "shingles": [np.unique(h).view(np.int64) for h in hashed],
-            }
+            sets = [np.unique(shingle_hashes(value, size)) for value in values]
+            return {"digest": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
         return work
 
-    found = per_text(asked, ["_id"], "fp long, shingles array<long>", make, "_own")
-    found = found.join(named, (F.col("fp") == F.col("end")) & (F.col("_id") == F.col("first")))
+    found = per_text(asked, ["_id"], "digest binary, shingles array<long>", make, "_own")
+    found = found.join(named, (F.col("digest") == F.col("_digest")) & (F.col("_id") == F.col("first")))
     sets = saved(found.select("end", "shingles").dropDuplicates(["end"]), "shingles")
     one = sets.select(F.col("end").alias("a"), F.col("shingles").alias("_of_a"))
     other = sets.select(F.col("end").alias("b"), F.col("shingles").alias("_of_b"))
@@ -254,24 +374,13 @@ def near_duplicates(
 
     Without ``similar`` fingerprints link at ``most`` differing bits or fewer; with it, texts at that similarity.
     """
-    rows = saved(fingerprints(docs, [id_column], size, text, similar is not None), "fingerprints")
-    sampled = [F.min("samples").alias("samples")] if similar is not None else []
-    nodes = saved(rows.groupBy("fp").agg(F.min(id_column).alias("first"), *sampled), "nodes")
+    if similar is not None:
+        return similar_classes(docs, id_column, text, size, similar)
+    rows = saved(fingerprints(docs, [id_column], size, text), "fingerprints")
+    nodes = saved(rows.groupBy("fp").agg(F.min(id_column).alias("first")), "nodes")
     filed = nodes.select("fp", F.explode(block_keys(F.col("fp"), blocks, most)).alias("key"))
     filed = filed.select("key.choice", "key.bits", "fp").repartition("choice", "bits")
-    links = bucket_links(filed.sortWithinPartitions("choice", "bits"), most).distinct()
-    if similar is not None:
-        sampled_links = saved(sample_links(nodes), "links")
-        ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        links = links.select(*ends).unionByName(sampled_links.filter("NOT again").select("a", "b")).distinct()
-        links = saved(similar_links(links, nodes, docs, id_column, text, size, similar), "similar")
-        # One link of each node to a smaller one joins most of a class; of the others only those that join more are kept.
-        parents = saved(links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "parents")
-        labels = components(parents)
-        again = unjoined(sampled_links.filter("again").select("a", "b"), labels)
-        more = similar_links(again, nodes, docs, id_column, text, size, similar)
-        links = parents.unionByName(unjoined(links, labels)).unionByName(more)
-    joined = components(links)
+    joined = components(bucket_links(filed.sortWithinPartitions("choice", "bits"), most).distinct())
     classes = nodes.join(joined, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
@@ -281,6 +390,35 @@ def near_duplicates(
     return rows.join(named, F.col("fp") == F.col("_fp")).select(id_column, "fp", "component_id")
 
 
+def similar_classes(docs: DataFrame, id_column: str, text: str, size: int, similar: float) -> DataFrame:
+    """As ``near_duplicates``, by the similarity of the sets of shingles."""
+    own = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_own"))
+    rows = saved(with_sets(own, ["_id"], size, "_own", similar), "fingerprints")
+    alike = [F.first(name).alias(name) for name in ("n", "samples", "parity", "prefix")]
+    nodes = rows.groupBy("digest").agg(F.min("_id").alias("first"), *alike)
+    nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    def checked(links: DataFrame) -> DataFrame:
+        return saved(similar_links(links, nodes, docs, id_column, text, size, similar), "similar")
+
+    sampled = saved(sample_links(nodes), "links")
+    links = checked(saved(not_too_far(sampled.filter("NOT again"), nodes, similar), "near"))
+    # One link of each node to a smaller one joins most of a class; of the others only those that join more are kept.
+    parents = saved(links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "parents")
+    labels = components(parents)
+    again = unjoined(sampled.filter("again").select("a", "b"), labels)
+    more = checked(saved(not_too_far(again, nodes, similar), "near"))
+    links = parents.unionByName(unjoined(links, labels)).unionByName(more)
+    rest = checked(saved(prefix_links(nodes, components(links), similar), "met"))
+    joined = components(links.unionByName(rest))
+    classes = nodes.join(joined.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+    classes = saved(classes.select("digest", "first", F.coalesce("label", "node").alias("label")), "classes")
+    first = classes.groupBy("label").agg(F.min("first").alias("component_id"))
+    named = classes.join(first, "label").select(F.col("digest").alias("_digest"), "component_id")
+    found = rows.join(named, F.col("digest") == F.col("_digest"))
+    return found.select(F.col("_id").alias(id_column), "fp", "component_id")
+
+
 def first_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The row with the smallest id of each class of texts at ``SIMILAR`` or more, whole; of rows with that id one stays.
 
