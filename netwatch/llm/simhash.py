@@ -48,6 +48,8 @@ SIMILAR = 0.8
 # decide how many pairs meet, never which links are found.
 PART, OFTEN, MOST_FREQUENT = 16, 8, 100_000
 PARITIES = 512
+# Counts of shingles that tell large sets apart before whole sets meet.
+CELLS = 1024
 SAMPLES = 8
 SAMPLED = 3
 # Each sample has its own order: hashes are mixed with one of these, and the smallest come first.
@@ -132,6 +134,12 @@ def parities(different: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def cells(different: np.ndarray) -> bytes:
+    """How many hashes fall on each cell, up to 255. Two sets differ in at least as many hashes as these counts do."""
+    held = np.bincount((different % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    return np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
 def prefix(different: np.ndarray, similar: float, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first hashes in the common order, of which sets that are similar enough share one."""
     n = len(different)
@@ -203,6 +211,29 @@ def not_too_far(links: DataFrame, nodes: DataFrame, similar: float) -> DataFrame
     return links.filter(alike & (apart <= most)).select("a", "b")
 
 
+def close_cells(links: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The links but those whose counts by cell show that the sets are too far apart."""
+    for end in ("a", "b"):
+        known = sets.select(F.col("end").alias(end), F.col("n").alias(f"_n_{end}"), F.col("cells").alias(f"_c_{end}"))
+        links = links.join(known, end)
+    rate = (1 - similar) / (1 + similar)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                one, other = (
+                    np.frombuffer(b"".join(part.column(i).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16)
+                    for i in (3, 4)
+                )
+                most = rate * part.column(2).to_numpy() + 1e-6
+                near = pa.array(np.abs(one - other).sum(axis=1, dtype=np.int64) <= most)
+                yield part.select([0, 1]).filter(near)
+
+    both = links.select("a", "b", (F.col("_n_a") + F.col("_n_b")).cast("long").alias("n"), "_c_a", "_c_b")
+    return both.mapInArrow(run, "a long, b long")
+
+
 def prefix_links(nodes: DataFrame, labels: DataFrame, similar: float) -> DataFrame:
     """All pairs ``(a, b)`` of nodes of different classes that may be similar: they share one of their first shingles."""
     label = labels.select(F.col("node").alias("_node"), "label")
@@ -273,13 +304,18 @@ def similar_links(
     def make() -> Callable[[list], dict[str, list]]:
         def work(values: list) -> dict[str, list]:
             sets = [np.unique(shingle_hashes(value, size)) for value in values]
-            return {"digest": [digest(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
+            return {
+                "digest": [digest(s) for s in sets],
+                "cells": [cells(s) for s in sets],
+                "shingles": [s.view(np.int64) for s in sets],
+            }
 
         return work
 
-    found = per_text(asked, ["_id"], "digest binary, shingles array<long>", make, "_own")
+    found = per_text(asked, ["_id"], "digest binary, cells binary, shingles array<long>", make, "_own")
     found = found.join(named, (F.col("digest") == F.col("_digest")) & (F.col("_id") == F.col("first")))
-    sets = saved(found.select("end", "shingles").dropDuplicates(["end"]), "shingles")
+    sets = saved(found.select("end", "cells", "shingles").dropDuplicates(["end"]), "shingles")
+    links = saved(close_cells(links, sets.select("end", "cells", F.size("shingles").alias("n")), similar), "close")
     one = sets.select(F.col("end").alias("a"), F.col("shingles").alias("_of_a"))
     other = sets.select(F.col("end").alias("b"), F.col("shingles").alias("_of_b"))
     both = F.size(F.array_intersect("_of_a", "_of_b"))
