@@ -9,7 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from netwatch.llm import bpe, langid, mixing, outliers, pii, repeats, sentences, simhash, unigram, winnow
+from netwatch.llm import (
+    bpe,
+    convnet,
+    langid,
+    mixing,
+    outliers,
+    phrases,
+    pii,
+    repeats,
+    resample,
+    sentences,
+    simhash,
+    unigram,
+    winnow,
+)
 from netwatch.llm.oracles import ORACLES as SQL
 from netwatch.llm.tasks import read_table, remainder
 
@@ -93,11 +107,30 @@ def op10_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of each language."""
+    return phrases.collocations(_documents(spark, folder))
+
+
+def op12_byte_convnet(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of each document, learned from labels of documents that are not held out."""
+    docs = _documents(spark, folder)
+    network = convnet.train(docs, read_table(spark, folder, "labels"))
+    found = convnet.scored(docs.withColumn("held_out", convnet.held_out()), network, ["doc_id", "held_out"])
+    return found.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, noisy sum and rank of each document when a tenth is drawn towards the benchmark."""
+    return resample.resampled(_documents(spark, folder), read_table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_token_counts, op2_byte_bpe, op3_language_id, op4_lm_scores, op5_suffix_dedup, op6_sentence_spans,
-        op7_quality_outliers, op8_pii, op9_simhash, op10_winnowing,
+        op7_quality_outliers, op8_pii, op9_simhash, op10_winnowing, op11_phrase_collocations, op12_byte_convnet,
+        op13_importance_resampling,
     )
 } | {"pipeline": corpus_pipeline.run}
 

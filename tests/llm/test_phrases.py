@@ -1,0 +1,88 @@
+"""Phrase collocations against plain counts of all n-grams."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from netwatch.llm import phrases
+from tests.llm import brute
+
+SCHEMA = "doc_id long, lang string, text string, w1 string, n int, rank int"
+
+
+def plain(rows, longest, fewest, share, top):
+    """rows: (lang, text)."""
+    counts, out = {}, []
+    for lang, text in rows:
+        own = counts.setdefault(lang or "und", Counter())
+        for piece in re.split("[.,;:!?\x0a-\x0d]", brute.lower(text or "")):
+            words = [w for w in re.split("[\x20\x09]+", piece) if w]
+            for k in range(1, longest + 1):
+                own.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    for lang, own in counts.items():
+        n = sum(f for p, f in own.items() if len(p) == 1)
+        candidates = {p: f for p, f in own.items() if len(p) > 1 and f >= fewest}
+        found = []
+        for p, a in candidates.items():
+            if any(
+                len(q) > len(p) and 100 * f >= share * a and p in [q[i : i + len(p)] for i in range(len(q) - len(p) + 1)]
+                for q, f in candidates.items()
+            ):
+                continue
+            score, _, left, right = min((10**6 * a * a // (own[p[:k]] * own[p[k:]]), k, own[p[:k]], own[p[k:]]) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def result(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    words = ["Die", "a", "ö", "x y", "e'f", "#", "g-h", "日本", "A", "tab\tbed"]
+    out = [(None, None), ("en", None), ("en", ""), ("de", " \t\n.,"), ("und", "a a a a"), (None, "a A, a a")]
+    for i in range(60):
+        text = "".join(rng.choice(words) + rng.choice(["  ", " ", " ", " ", "\n", ". ", "\x0b", "\r", "!"]) for _ in range(rng.randint(1, 80)))
+        out += [(("en", "de", None)[i % 3], text)] * (1 + i % 2)
+    return out + [("fr", "la " * 30_000), ("fr", "le la " * 2_000)]
+
+
+@pytest.mark.parametrize(("longest", "fewest", "share", "top"), [(3, 10, 50, 2_000), (2, 2, 50, 5), (4, 3, 80, 40)])
+def test_collocations(spark, rows, longest, fewest, share, top):
+    frame = spark.createDataFrame([(None, lang, text, "x", 1, 2) for lang, text in rows], SCHEMA).repartition(5)
+    found = phrases.collocations(frame, longest=longest, fewest=fewest, share=share, top=top)
+    assert result(found) == plain(rows, longest, fewest, share, top)
+
+
+def test_full_slots_change_no_result(spark, rows, monkeypatch):
+    """Two hundred thousand phrases in 65,536 slots: none is left out, whatever shares a slot."""
+    rng = random.Random(8)
+    many = [("en", " ".join(f"{rng.randrange(400):x}" for _ in range(4_000))) for _ in range(25)] + rows
+    frame = spark.createDataFrame([(i, lang, text, "x", 1, 2) for i, (lang, text) in enumerate(many)], SCHEMA)
+    monkeypatch.setattr(phrases, "SLOT_BITS", (16, 16))
+    assert result(phrases.collocations(frame, fewest=3)) == plain(many, 3, 3, 50, 2_000)
+
+
+def test_products_beyond_64_bits(spark):
+    counts = [("en", 0, "", 9 * 10**12), ("en", 1, "a", 4 * 10**12), ("en", 1, "b", 3 * 10**12), ("en", 2, "a b", 2 * 10**12 + 1)]
+    frame = spark.createDataFrame(counts, "lang string, length int, phrase string, f long")
+    row = phrases.scored(frame).first()
+    assert row.score == 10**6 * (2 * 10**12 + 1) ** 2 // (12 * 10**24)
+
+
+def test_windows_travel_pruned(spark, rows):
+    """Phrases that cannot be frequent leave no window column, and each word keeps its window."""
+    frame = spark.createDataFrame([("en", b"q w e r t y")] + [("en", b"a b c")] * 10, "_lang string, _text binary")
+    found = {(r.w1, r.w2, r.w3): r.n for r in phrases.windows(frame.coalesce(1), 3, 10, 20).collect()}
+    expected = {("a", "b", "c"): 10, ("b", "c", None): 10, ("c", None, None): 10}
+    assert found == expected | {(w, None, None): 1 for w in "qwerty"}
+
+
+def test_empty_table(spark):
+    assert phrases.collocations(spark.createDataFrame([], SCHEMA)).count() == 0
