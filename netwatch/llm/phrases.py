@@ -2,15 +2,18 @@
 
 A text is cut into pieces at punctuation and line ends, a piece into words. Each word opens one window: its
 own column and a lead column for each further word of the longest phrase, NULL beyond the end of the piece. Windows are
-counted once; ``ROLLUP`` over their columns then sums them by ever shorter prefixes, so that words, pairs and longer
-phrases, and the words of a language in all, come from one grouping instead of one explosion of n-grams each.
-
-Most windows of the longest phrases occur once. So that these do not all travel, a first pass counts the phrases of two
-and more words under hashed slots. A slot holds at least the count of each phrase in it; where it stays under
-``fewest``, no phrase of it can be a candidate, and the second pass pads the window from there on. That loses no count
-that is used: parts of candidates are as frequent as the candidate. Slots are as many as the input has bytes over
-``BYTES_A_SLOT``, between the two bounds of ``SLOT_BITS``. What goes to all tasks is one bit per slot and length, at most
-64 MB a length whatever the input. Beyond that bound slots fill up and more windows travel; the results are the same.
+counted once; the sums of a rollup over their columns then give ever shorter prefixes, so that words, pairs and longer
+phrases, and the words of a language in all, come from one grouping instead of one explosion of n-grams each. The
+rollup's keys are prefixes: a prefix names all words before its last one, so one key column for each length is
+enough, and the lengths that a padded window lacks fall into one group instead of one for each window.
+
+Most phrases are rare. So that these do not travel, a first pass counts the phrases of each length under hashed
+slots. A slot holds at least the count of each phrase in it; where it stays under ``fewest``, no phrase of it can be
+part of a candidate, and the second pass pads the window from there on. That loses no count that is used: parts of candidates
+are as frequent as the candidate, and windows without a frequent word still count for their language. Slots are as many as
+the input has bytes over ``BYTES_A_SLOT``, between the two bounds of ``SLOT_BITS``. What goes to all tasks is one bit per slot
+and length, at most 64 MB a length whatever the input. Beyond that bound slots fill up and more windows travel; the
+results are the same.
 
 Counts are added up in the tasks before the shuffle (windows by slice of texts, prefixes by Spark). Scores are whole
 numbers of exact decimals. The best phrases of a language are ranked inside shares first, one for each task.
@@ -24,13 +27,12 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from netwatch.llm.tasks import saved, sliced, texts
@@ -44,7 +46,9 @@ SCALE = 1_000_000
 
 BYTES_A_SLOT = 6
 SLOT_BITS = (20, 29)
-BLOCK_BITS = 16
+# Slots of a length are added up in this many parts, powers of two.
+PART_BITS = 9
+GROUPS = 32
 SLICE = 4 << 20
 
 # The bytes that end a piece, as a line end; A-Z become a-z by bytes.lower. The split of bytes at
@@ -68,7 +72,7 @@ class Words:
         self.left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(self.ids))
 
     def slots(self, lang: str, longest: int, bits: int) -> list[np.ndarray]:
-        """For each length from two words on, the slot of the phrase that each word begins.
+        """For each length, the slot of the phrase that each word begins.
 
         Where a piece ends before, the slot means nothing.
         """
@@ -76,8 +80,9 @@ class Words:
         digest = xxhash.xxh3_64_intdigest
         each = np.fromiter((digest(word, seed) for word in self.distinct), np.uint64, len(self.distinct))[self.ids]
         out, so_far = [], each.copy()
-        for n in range(2, longest + 1):
-            so_far[: len(each) - n + 1] = so_far[: len(each) - n + 1] * MIX + each[n - 1 :]
+        for n in range(1, longest + 1):
+            if n > 1:
+                so_far[: len(each) - n + 1] = so_far[: len(each) - n + 1] * MIX + each[n - 1 :]
             mixed = (so_far ^ (so_far >> np.uint64(31))) * MIX
             out.append((mixed >> np.uint64(64 - bits)).astype(np.int64))
         return out
@@ -94,41 +99,58 @@ def by_language(part: pa.RecordBatch, values: list) -> Iterator[tuple[str, Words
             yield lang, words
 
 
+def packed(slots: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Rising slots as steps of two bytes, and their counts up to 255. A step too long is cut by slots that count nothing."""
+    steps = np.diff(slots, prepend=0)
+    cuts = steps // 65_535
+    if cuts.any():
+        ends = np.cumsum(cuts + 1) - 1
+        filled, counted = np.full(ends[-1] + 1, 65_535), np.zeros(ends[-1] + 1, np.int64)
+        filled[ends], counted[ends] = steps % 65_535, counts
+        steps, counts = filled, counted
+    return steps.astype("<u2").tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def counted_slots(longest: int, bits: int):
+    """A row for each length and part of the slots, with the slots of a slice in it: as many rows for each slice."""
+    names = ["length", "part", "steps", "counts"]
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, values in sliced(batch, SLICE):
-                rows: list[tuple[int, int, bytes, bytes]] = []
-                for lang, words in by_language(part, values):
-                    for n, slots in enumerate(words.slots(lang, longest, bits), 2):
-                        found, counts = np.unique(slots[words.left >= n], return_counts=True)
-                        low = (found & ((1 << BLOCK_BITS) - 1)).astype("<u2")
-                        counts = np.minimum(counts, 255).astype(np.uint8)
-                        blocks, starts = np.unique(found >> BLOCK_BITS, return_index=True)
-                        for block, a, b in zip(blocks.tolist(), starts, [*starts[1:], len(found)]):
-                            rows.append((n, block, low[a:b].tobytes(), counts[a:b].tobytes()))
-                columns = list(zip(*rows)) or [()] * 4
-                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["length", "block", "slots", "counts"])
+            for rows, values in sliced(batch, SLICE):
+                slots: list[list[np.ndarray]] = [[] for _ in range(longest)]
+                for lang, words in by_language(rows, values):
+                    for n, found in enumerate(words.slots(lang, longest, bits)):
+                        slots[n].append(found[words.left > n])
+                cells: list[tuple[int, int, bytes, bytes]] = []
+                for n, found in enumerate(slots, 1):
+                    own, counts = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
+                    shift = bits - PART_BITS
+                    parts, starts = np.unique(own >> shift, return_index=True)
+                    for part, a, b in zip(parts.tolist(), starts, [*starts[1:], len(own)]):
+                        cells.append((n, part, *packed(own[a:b] - (part << shift), counts[a:b])))
+                columns = list(zip(*cells)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
 
 
-def full_slots(fewest: int):
-    """Adds up the blocks of a partition, up to 255 a slot, and gives the slots that reach ``fewest`` as bits."""
+def full_slots(fewest: int, bits: int):
+    """Adds up the parts of a partition, up to 255 a slot, and gives the slots that reach ``fewest`` as bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[tuple[int, int], np.ndarray] = {}
+        held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for n, block, slots, counts in zip(*(column.to_pylist() for column in batch.columns)):
-                held = blocks.setdefault((n, block), np.zeros(1 << BLOCK_BITS, np.uint8))
-                at = np.frombuffer(slots, "<u2")
-                held[at] = np.minimum(held[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), 255)
-        for (n, block), held in blocks.items():
-            full = np.packbits(held >= min(fewest, 255))
+            for n, part, steps, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                sums = held.setdefault((n, part), np.zeros(1 << (bits - PART_BITS), np.uint8))
+                at = np.cumsum(np.frombuffer(steps, "<u2"), dtype=np.int64)
+                sums[at] = np.minimum(sums[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), 255)
+        for (n, part), sums in held.items():
+            full = np.packbits(sums >= min(fewest, 255))
             if full.any():
                 yield pa.RecordBatch.from_pydict(
-                    {"length": pa.array([n], pa.int32()), "block": pa.array([block], pa.int32()),
+                    {"length": pa.array([n], pa.int32()), "part": pa.array([part], pa.int32()),
                      "full": pa.array([full.tobytes()], pa.binary())}
                 )
 
@@ -145,16 +167,16 @@ def windows(frame: DataFrame, longest: int, fewest: int, bits: int) -> DataFrame
 
     ``frame`` holds a language and the text as bytes.
     """
-    blocks = frame.mapInArrow(counted_slots(longest, bits), "length int, block int, slots binary, counts binary")
+    parts = frame.mapInArrow(counted_slots(longest, bits), "length int, part int, steps binary, counts binary")
     rows = (
-        blocks.repartition("length", "block")
-        .mapInArrow(full_slots(fewest), "length int, block int, full binary")
+        parts.repartition("length", "part")
+        .mapInArrow(full_slots(fewest, bits), "length int, part int, full binary")
         .collect()  # at most a bit per slot and length
     )
-    full = {n: np.zeros(1 << (bits - 3), np.uint8) for n in range(2, longest + 1)}
-    size = 1 << (BLOCK_BITS - 3)
+    full = {n: np.zeros(1 << (bits - 3), np.uint8) for n in range(1, longest + 1)}
+    size = 1 << (bits - PART_BITS - 3)
     for row in rows:
-        full[row.length][row.block * size : (row.block + 1) * size] = np.frombuffer(row.full, np.uint8)
+        full[row.length][row.part * size : (row.part + 1) * size] = np.frombuffer(row.full, np.uint8)
     shared = frame.sparkSession.sparkContext.broadcast(full)
     names = [f"w{n}" for n in range(1, longest + 1)]
 
@@ -177,14 +199,14 @@ def windows(frame: DataFrame, longest: int, fewest: int, bits: int) -> DataFrame
 
 def padded(words: Words, slots: list[np.ndarray], full: dict[int, np.ndarray]) -> list[np.ndarray]:
     """The window columns of each word, -1 beyond the piece and from the first length on that cannot be frequent."""
-    columns = [words.ids]
-    before = np.ones(len(words.ids), bool)
-    for n, slot in enumerate(slots, 2):
+    columns, before = [], np.ones(len(words.ids), bool)
+    for n, slot in enumerate(slots, 1):
         able = (words.left >= n) & ((full[n][slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
         able &= before
-        able[:-1] &= before[1:]  # the phrase without its first word
+        if n > 1:
+            able[:-1] &= before[1:]  # the phrase without its first word
         lead = np.full(len(words.ids), -1)
-        lead[: len(lead) - n + 1] = words.ids[n - 1 :]
+        lead[: max(0, len(lead) - n + 1)] = words.ids[n - 1 :]
         columns.append(np.where(able, lead, -1))
         before = able
     return columns
@@ -206,13 +228,18 @@ def distinct_rows(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.
 def phrase_counts(found: DataFrame, longest: int, fewest: int) -> DataFrame:
     """``lang``, ``length``, ``phrase`` and ``f`` of all phrases that occur ``fewest`` times; length 0 has a language's words."""
     names = [f"w{n}" for n in range(1, longest + 1)]
-    rolled = found.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("_set"))
-    # The grouping sets of a rollup are known by their numbers: ones for the columns that are summed over.
-    length = F.lit(None).cast("int")
-    for n in range(longest + 1):
-        whole = reduce(Column.__and__, (F.col(name).isNotNull() for name in names[:n]), F.lit(True))
-        length = F.when((F.col("_set") == (1 << (longest - n)) - 1) & whole, n).otherwise(length)
-    rows = rolled.select("lang", length.alias("length"), F.concat_ws(" ", *names).alias("phrase"), "f")
+    # A prefix is NULL as soon as one of its words is.
+    prefixes = [F.concat(F.col("w1"), *(x for name in names[1:n] for x in (F.lit(" "), F.col(name)))) for n in range(1, longest + 1)]
+    keyed = found.select("lang", "n", *(prefix.alias(f"p{n}") for n, prefix in enumerate(prefixes, 1)))
+    keys = [f"p{n}" for n in range(1, longest + 1)]
+    rolled = keyed.groupingSets([["lang"], *(["lang", key] for key in keys)], "lang", *keys)
+    sums = rolled.agg(F.sum("n").alias("f"), F.grouping_id().alias("_set"))
+    # The number of a grouping set has ones for the keys that it sums over.
+    every = (1 << longest) - 1
+    length = F.when(F.col("_set") == every, 0)
+    for n in range(1, longest + 1):
+        length = length.when((F.col("_set") == every - (1 << (longest - n))) & F.col(f"p{n}").isNotNull(), n)
+    rows = sums.select("lang", length.alias("length"), F.coalesce(*keys, F.lit("")).alias("phrase"), "f")
     return rows.filter((F.col("length") == 0) | (F.col("length").isNotNull() & (F.col("f") >= fewest)))
 
 
@@ -266,9 +293,10 @@ def collocations(
     rows = scored(counts).join(around(counts), ["lang", "phrase"], "left")
     own = rows.filter(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True)))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    shares = own.withColumn("_share", F.spark_partition_id())
-    first = Window.partitionBy("lang", "_share").orderBy(*order)
-    some = shares.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= top)
+    some = own.withColumn("_share", F.spark_partition_id())
+    for share_of in ("_share", F.col("_share") % GROUPS):  # a language is never ranked as a whole in one task
+        inside = Window.partitionBy("lang", share_of).orderBy(*order)
+        some = some.withColumn("_rank", F.row_number().over(inside)).filter(F.col("_rank") <= top)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     totals = counts.filter("length = 0").select("lang", F.col("f").alias("n"))
     best = ranked.filter(F.col("rank") <= top).join(totals, "lang")
