@@ -4,7 +4,8 @@ The words of a slice of texts that are not in the vocabulary are laid out one af
 inverted index holds, for each rank, the positions of the token pairs that the rank merges. Ranks are
 taken in rising order; a merge touches the pairs to its left and right only. A word's tokens do not
 depend on the words beside it, so slices need nothing from each other: no shuffle, and a lost task
-repeats its own slice. The words of earlier slices of a task are kept, up to ``KEPT_WORDS``.
+repeats its own slice. The words of earlier slices of a task are kept, up to ``KEPT_WORDS``; then the older half goes.
+Digests are made from what is kept for each word: its ids as text, and the bytes that its ids decode to.
 
 Defined results: a NULL text is an empty text and has no tokens; special tokens are ordinary text.
 """
@@ -15,7 +16,7 @@ import base64
 import hashlib
 from collections.abc import Callable, Iterable
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, islice
 
 import regex
 from pyspark.sql import DataFrame
@@ -121,22 +122,25 @@ class Encoder:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, texts: list[bytes | None]) -> list[list[int]]:
-        split = [self.words(text.decode("utf-8", "replace")) if text else [] for text in texts]
-        distinct = set(chain.from_iterable(split))
+    def split(self, texts: list[bytes | None]) -> list[list[str]]:
+        """The words of each text; those that are not known yet are merged first."""
+        found = [self.words(text.decode("utf-8", "replace")) if text else [] for text in texts]
         if len(self.known) > KEPT_WORDS:
-            self.known.clear()
+            for old in list(islice(self.known, KEPT_WORDS // 2)):
+                del self.known[old]
+        new = set().union(*found).difference(self.known)
         open_words = []
-        for word in distinct.difference(self.known):
+        for word in new:
             whole = self.ranks.get(word.encode())
             if whole is not None:
                 self.known[word] = (whole,)
             else:
                 open_words.append(word)
-        found = replay([word.encode() for word in open_words], self.ranks)
-        self.known.update(zip(open_words, found))
-        ids_of = self.known.__getitem__
-        return [list(chain.from_iterable(map(ids_of, words))) for words in split]
+        self.known.update(zip(open_words, replay([word.encode() for word in open_words], self.ranks)))
+        return found
+
+    def encode(self, texts: list[bytes | None]) -> list[list[int]]:
+        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in self.split(texts)]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -176,16 +180,23 @@ def round_trip(
 
     def make() -> Callable[[list], dict[str, list]]:
         coder = Encoder(path, pattern)
-        names = {rank: str(rank) for rank in coder.tokens}
 
         def work(values: list) -> dict[str, list]:
-            ids = coder.encode(values)
-            return {
-                "token_ids": ids,
-                "n_tokens": [len(row) for row in ids],
-                "ids_sha256": [digest(",".join(map(names.__getitem__, row)).encode()) for row in ids],
-                "decoded_sha256": [digest(coder.decode(row)) for row in ids],
-            }
+            split = coder.split(values)
+            spelled = {}
+            for word in set().union(*split):
+                ids = coder.known[word]
+                spelled[word] = (",".join(map(str, ids)), coder.decode(ids))
+            found: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+            if with_ids:
+                found["token_ids"] = [list(chain.from_iterable(map(coder.known.__getitem__, words))) for words in split]
+            for words in split:
+                names, pieces = zip(*map(spelled.__getitem__, words)) if words else ((), ())
+                joined = ",".join(names)
+                found["n_tokens"].append(joined.count(",") + 1 if words else 0)
+                found["ids_sha256"].append(digest(joined.encode()))
+                found["decoded_sha256"].append(digest(b"".join(pieces)))
+            return found
 
         return work
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netwatch.llm.tasks import saved
+from netwatch.llm.tasks import discard, saved
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label``, the smallest node that it is joined to, for each node of edges ``(a, b)``.
 
     Labels fall to the smallest one nearby, then to the label of that label, so that a chain halves in each
-    round. Rounds end when no label changes. Each one is written to the shared folder.
+    round. Rounds end when no label changes. Each one is written to the shared folder, and the one before removed.
     """
     both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "labels")
@@ -34,6 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
             ),
             "labels",
         )
+        discard(labels)
         labels = new.select("node", "label")
         if new.filter("changed").isEmpty():
+            discard(both)
             return labels

@@ -32,6 +32,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ SLOT_BITS = (20, 29)
 # Slots of a length are added up in this many parts, powers of two.
 PART_BITS = 9
 GROUPS = 32
-SLICE = 4 << 20
+SLICE = 8 << 20
 
 # The bytes that end a piece, as a line end; A-Z become a-z by bytes.lower. The split of bytes at
 # white space then leaves words of anything but blanks and tabs, as all other white space ends a piece.
@@ -99,8 +100,11 @@ def by_language(part: pa.RecordBatch, values: list) -> Iterator[tuple[str, Words
             yield lang, words
 
 
-def packed(slots: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Rising slots as steps of two bytes, and their counts up to 255. A step too long is cut by slots that count nothing."""
+def packed(slots: np.ndarray, counts: np.ndarray, packer: zstandard.ZstdCompressor) -> bytes:
+    """Rising slots as steps of two bytes, all low ones first, and their counts up to 255.
+
+    A step too long is cut by slots that count nothing.
+    """
     steps = np.diff(slots, prepend=0)
     cuts = steps // 65_535
     if cuts.any():
@@ -108,29 +112,36 @@ def packed(slots: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
         filled, counted = np.full(ends[-1] + 1, 65_535), np.zeros(ends[-1] + 1, np.int64)
         filled[ends], counted[ends] = steps % 65_535, counts
         steps, counts = filled, counted
-    return steps.astype("<u2").tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()
+    planes = np.stack([steps & 0xFF, steps >> 8, np.minimum(counts, 255)]).astype(np.uint8)
+    return packer.compress(planes.tobytes())
+
+
+def unpacked(cell: bytes, packer: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray]:
+    low, high, counts = np.frombuffer(packer.decompress(cell), np.uint8).reshape(3, -1)
+    return np.cumsum(low + (high.astype(np.int64) << 8)), counts
 
 
 def counted_slots(longest: int, bits: int):
     """A row for each length and part of the slots, with the slots of a slice in it: as many rows for each slice."""
-    names = ["length", "part", "steps", "counts"]
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    names = ["length", "part", "packed"]
+    kinds = (pa.int32(), pa.int32(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(1)
         for batch in batches:
             for rows, values in sliced(batch, SLICE):
                 slots: list[list[np.ndarray]] = [[] for _ in range(longest)]
                 for lang, words in by_language(rows, values):
                     for n, found in enumerate(words.slots(lang, longest, bits)):
                         slots[n].append(found[words.left > n])
-                cells: list[tuple[int, int, bytes, bytes]] = []
+                cells: list[tuple[int, int, bytes]] = []
                 for n, found in enumerate(slots, 1):
                     own, counts = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
                     shift = bits - PART_BITS
                     parts, starts = np.unique(own >> shift, return_index=True)
                     for part, a, b in zip(parts.tolist(), starts, [*starts[1:], len(own)]):
-                        cells.append((n, part, *packed(own[a:b] - (part << shift), counts[a:b])))
-                columns = list(zip(*cells)) or [()] * 4
+                        cells.append((n, part, packed(own[a:b] - (part << shift), counts[a:b], packer)))
+                columns = list(zip(*cells)) or [()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
@@ -140,12 +151,15 @@ def full_slots(fewest: int, bits: int):
     """Adds up the parts of a partition, up to 255 a slot, and gives the slots that reach ``fewest`` as bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdDecompressor()
         held: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for n, part, steps, counts in zip(*(column.to_pylist() for column in batch.columns)):
-                sums = held.setdefault((n, part), np.zeros(1 << (bits - PART_BITS), np.uint8))
-                at = np.cumsum(np.frombuffer(steps, "<u2"), dtype=np.int64)
-                sums[at] = np.minimum(sums[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), 255)
+            for n, part, cell in zip(*(column.to_pylist() for column in batch.columns)):
+                if (n, part) not in held:
+                    held[n, part] = np.zeros(1 << (bits - PART_BITS), np.uint8)
+                sums = held[n, part]
+                at, counts = unpacked(cell, packer)
+                sums[at] = np.minimum(sums[at].astype(np.uint16) + counts, 255)
         for (n, part), sums in held.items():
             full = np.packbits(sums >= min(fewest, 255))
             if full.any():
@@ -167,7 +181,7 @@ def windows(frame: DataFrame, longest: int, fewest: int, bits: int) -> DataFrame
 
     ``frame`` holds a language and the text as bytes.
     """
-    parts = frame.mapInArrow(counted_slots(longest, bits), "length int, part int, steps binary, counts binary")
+    parts = frame.mapInArrow(counted_slots(longest, bits), "length int, part int, packed binary")
     rows = (
         parts.repartition("length", "part")
         .mapInArrow(full_slots(fewest, bits), "length int, part int, full binary")

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netwatch.llm.links import components
-from netwatch.llm.tasks import numbered_names, per_text, saved
+from netwatch.llm.tasks import discard, numbered_names, per_text, saved
 
 SEED = 42
 BITS = 64
@@ -242,9 +242,9 @@ def prefix_links(nodes: DataFrame, labels: DataFrame, similar: float) -> DataFra
     filed = own.select(F.explode("prefix").alias("key"), "node", "label")
     ends = filed.groupBy("key").agg(F.min("label").alias("_least"), F.max("label").alias("_most"))
     asked = saved(ends.filter("_least < _most").select("key"), "keys")  # keys of one class join nothing
-    met = saved(filed.join(asked, "key"), "met").join(own.select("node", "n", "parity"), "node")
+    met = saved(filed.join(asked, "key"), "met")
     parts = [F.col("parity")[i].alias(f"p{i}") for i in range(PARITIES // 64)]
-    rows = met.select("key", "n", "node", "label", *parts).repartition("key").sortWithinPartitions("key", "n")
+    rows = met.join(own.select("node", "n", "parity"), "node").select("key", "n", "node", "label", *parts).repartition("key").sortWithinPartitions("key", "n")
     rate = (1 - similar) / (1 + similar)
 
     def pairs(held: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -285,7 +285,9 @@ def prefix_links(nodes: DataFrame, labels: DataFrame, similar: float) -> DataFra
         none = np.empty(0, np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *end])) for end in found], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    found = saved(rows.mapInArrow(run, "a long, b long").distinct(), "found")
+    discard(own, asked, met)
+    return found
 
 
 def similar_links(
@@ -294,6 +296,7 @@ def similar_links(
     """The links whose ends have sets of shingles that share at least ``similar`` of their union.
 
     The set of an end is that of the text which gives its class its name. An end without an id keeps no link.
+    ``links`` is a written table, and is removed.
     """
     ends = links.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     asked_nodes = nodes.join(ends, F.col("node") == F.col("end"))
@@ -315,12 +318,14 @@ def similar_links(
     found = per_text(asked, ["_id"], "digest binary, cells binary, shingles array<long>", make, "_own")
     found = found.join(named, (F.col("digest") == F.col("_digest")) & (F.col("_id") == F.col("first")))
     sets = saved(found.select("end", "cells", "shingles").dropDuplicates(["end"]), "shingles")
-    links = saved(close_cells(links, sets.select("end", "cells", F.size("shingles").alias("n")), similar), "close")
+    close = saved(close_cells(links, sets.select("end", "cells", F.size("shingles").alias("n")), similar), "close")
     one = sets.select(F.col("end").alias("a"), F.col("shingles").alias("_of_a"))
     other = sets.select(F.col("end").alias("b"), F.col("shingles").alias("_of_b"))
     both = F.size(F.array_intersect("_of_a", "_of_b"))
     union = F.size("_of_a") + F.size("_of_b") - both
-    return links.join(one, "a").join(other, "b").filter(both >= similar * union).select("a", "b")
+    checked = saved(close.join(one, "a").join(other, "b").filter(both >= similar * union).select("a", "b"), "similar")
+    discard(links, named, sets, close)
+    return checked
 
 
 def block_keys(fp: Column, blocks: int, most: int) -> Column:
@@ -429,13 +434,15 @@ def near_duplicates(
 def similar_classes(docs: DataFrame, id_column: str, text: str, size: int, similar: float) -> DataFrame:
     """As ``near_duplicates``, by the similarity of the sets of shingles."""
     own = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_own"))
-    rows = saved(with_sets(own, ["_id"], size, "_own", similar), "fingerprints")
+    sets = saved(with_sets(own, ["_id"], size, "_own", similar), "fingerprints")
     alike = [F.first(name).alias(name) for name in ("n", "samples", "parity", "prefix")]
-    nodes = rows.groupBy("digest").agg(F.min("_id").alias("first"), *alike)
-    nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    grouped = sets.groupBy("digest").agg(F.min("_id").alias("first"), *alike)
+    nodes = saved(grouped.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    rows = saved(sets.select("_id", "fp", "digest"), "rows")
+    discard(sets)
 
     def checked(links: DataFrame) -> DataFrame:
-        return saved(similar_links(links, nodes, docs, id_column, text, size, similar), "similar")
+        return similar_links(links, nodes, docs, id_column, text, size, similar)
 
     sampled = saved(sample_links(nodes), "links")
     links = checked(saved(not_too_far(sampled.filter("NOT again"), nodes, similar), "near"))
@@ -445,8 +452,10 @@ def similar_classes(docs: DataFrame, id_column: str, text: str, size: int, simil
     again = unjoined(sampled.filter("again").select("a", "b"), labels)
     more = checked(saved(not_too_far(again, nodes, similar), "near"))
     links = parents.unionByName(unjoined(links, labels)).unionByName(more)
-    rest = checked(saved(prefix_links(nodes, components(links), similar), "met"))
-    joined = components(links.unionByName(rest))
+    found = prefix_links(nodes, components(links), similar)
+    whole, nodes = nodes, saved(nodes.select("node", "first", "digest"), "nodes")
+    discard(whole, sampled, again)
+    joined = components(links.unionByName(checked(found)))
     classes = nodes.join(joined.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     classes = saved(classes.select("digest", "first", F.coalesce("label", "node").alias("label")), "classes")
     first = classes.groupBy("label").agg(F.min("first").alias("component_id"))
@@ -456,7 +465,8 @@ def similar_classes(docs: DataFrame, id_column: str, text: str, size: int, simil
 
 
 def first_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The row with the smallest id of each class of texts at ``SIMILAR`` or more, whole; of rows with that id one stays.
+    """The row with the smallest id of each class of texts at ``SIMILAR`` or more, whole. Of rows with that id and the same text one stays; different texts under one
+    id all stay, as an id alone does not make them copies.
 
     Rows with a NULL id all stay: none can be told from the other.
     """
@@ -464,5 +474,5 @@ def first_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     first = found.filter(F.col(id_column) == F.col("component_id")).select(F.col(id_column).alias("_first")).distinct()
     own = numbered_names(docs)
     name = f"_c{docs.columns.index(id_column)}"
-    kept = own.join(first, F.col(name) == F.col("_first"), "left_semi").dropDuplicates([name])
+    kept = own.join(first, F.col(name) == F.col("_first"), "left_semi").dropDuplicates([name, f"_c{docs.columns.index(text)}"])
     return kept.unionByName(own.filter(F.col(name).isNull())).toDF(*docs.columns)

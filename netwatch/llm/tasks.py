@@ -40,6 +40,15 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Removes the folders of tables that ``saved`` wrote. Nothing may read them any more."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        for folder in {name.rpartition("/")[0] for name in frame.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remainder(number: Column, modulus: int) -> Column:
     """crc32 of a number written in decimal, modulo ``modulus``; NULL counts as empty text."""
     return F.crc32(F.coalesce(number.cast("string"), F.lit(""))) % modulus

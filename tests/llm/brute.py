@@ -196,27 +196,44 @@ def unigram_count(word, scores):
     return -best[-1][1]
 
 
-def sentence_spans(rows, size, fewest, split):
-    """rows: (id, text); ``split`` cuts a text into sentences."""
-    first, places = {}, []
-    for row, (doc_id, text) in sorted(enumerate(rows), key=lambda r: (r[1][0] is not None, r[1][0] or 0, r[0])):
-        parts = split(text) if text else []
-        for at in range(max(1, len(parts) - size + 1) if parts else 0):
-            run = "\n".join(p.strip() for p in parts[at : at + size])
-            if len(run) >= fewest:
-                if run in first:
-                    places.append((row, at))
-                else:
-                    first[run] = (row, at)
-    gone = defaultdict(set)
-    for row, at in places:
-        gone[row] |= set(range(at, at + size))
-    out = []
+def sentence_runs(bare, size, fewest, words):
+    """All (start, stop) that are compared with other texts: by the rule as it is told, each length measured anew."""
+    def long(a, b):
+        return len("\n".join(bare[a:b])) >= fewest
+
+    n = len(bare)
+    found = set()
+    if n < size:
+        found.add((0, n))
+    else:
+        for a in range(n - size + 1):
+            found |= {(a, b) for b in [next((b for b in range(a + size, n + 1) if long(a, b)), None)] if b}
+        if not any(b == n for _, b in found):
+            found.add((next((a for a in range(n - size, -1, -1) if long(a, n)), 0), n))
+    return found | {(a, a + k) for k in (1, 2) for a in range(n - k + 1) if len(" ".join(bare[a : a + k]).split()) >= words}
+
+
+def sentence_spans(rows, size, fewest, words, split):
+    """rows: (id, text), ids different; ``split`` cuts a text into sentences of a script with spaces."""
+    places, gone, out = defaultdict(list), defaultdict(set), []
+    for row, (doc_id, text) in enumerate(rows):
+        bare = [p.strip() for p in split(text)] if text else []
+        if not bare:
+            continue
+        if len("\n".join(bare)) < fewest:
+            places["whole", tuple(bare)].append((doc_id, 0, row, len(bare)))
+        else:
+            for a, b in sentence_runs(bare, size, fewest, words):
+                places["run", tuple(bare[a:b])].append((doc_id, a, row, b - a))
+    for found in places.values():
+        _, first, own, _ = min(found)
+        for _, a, row, n in found:
+            if row != own or (a != first and n <= size):
+                gone[row] |= set(range(a, a + n))
     for row, (doc_id, text) in enumerate(rows):
         parts = split(text) if text else []
-        left = [p for i, p in enumerate(parts) if i not in gone[row]]
-        kept = "".join(left) if gone[row] else text or ""
-        out.append((doc_id, len(parts), len(parts) - len(left) if gone[row] else 0, sha(kept)))
+        kept = "".join(p for i, p in enumerate(parts) if i not in gone[row]) if gone[row] else text or ""
+        out.append((doc_id, len(parts), len(gone[row]), sha(kept)))
     return out
 
 

@@ -78,7 +78,7 @@ def test_suffix_dedup(spark, texts):
 
 
 def test_sentence_spans(spark, texts):
-    expected = brute.sentence_spans(texts, sentences.RUN, sentences.FEWEST, sentences.sentences)
+    expected = brute.sentence_spans(texts, sentences.RUN, sentences.FEWEST, sentences.WORDS, sentences.sentences)
     assert result(spark, "op6_sentence_spans", "doc_id", "n_sentences", "n_removed", "kept_sha256") == sorted(expected)
 
 
