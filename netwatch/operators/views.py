@@ -7,7 +7,7 @@ shuffle. Counts are kept as integers and ratios are derived last, so increments
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,13 +92,17 @@ def count_views(
     logs: DataFrame,
     rule_set: Mapping[str, str] = rules.BATCH_B,
     as_of: dt.datetime | str | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """The raw counts behind all three views in one pass over the log, told apart by ``view``.
 
+    With ``by`` they are counted for each value of these columns.
+
     Grouping sets feed each row to the three groupings in the same stage, so the log is neither read
     again nor cached, and its rules are matched once. See ``VIEW_NUMBERS`` for the values of ``view``.
     """
     rows = classify_attack(logs, rule_set).select(
+        *by,
         "source_ip",
         "attack_type",
         event_day(F.col("event_time")).alias("detection_date"),
@@ -107,8 +111,8 @@ def count_views(
         "bytes_transferred",
         (F.col("threat_label") != rules.BENIGN).alias("is_threat"),
     )
-    keys = [key for group in VIEW_KEYS.values() for key in group]
-    return rows.groupingSets(list(VIEW_KEYS.values()), *keys).agg(
+    keys = [*by, *(key for group in VIEW_KEYS.values() for key in group)]
+    return rows.groupingSets([[*by, *group] for group in VIEW_KEYS.values()], *keys).agg(
         F.grouping_id().cast("int").alias("view"),
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("is_threat")).alias("threats"),
@@ -149,15 +153,22 @@ def volume_analysis(logs: DataFrame) -> DataFrame:
     )
 
 
+def _bits_set(port: str) -> Column:
+    """Aggregate: the number of different ports. Ports from 0 on are bits from 1 on, half of them in each bitmap."""
+    bit = F.col(port).cast("bigint") + 1
+    half = F.bitmap_bucket_number(bit)
+    return sum(F.bitmap_count(F.bitmap_construct_agg(F.when(half == n, F.bitmap_bit_position(bit)))) for n in (1, 2))
+
+
 def port_scans(logs: DataFrame, window: str = "1 hour", min_ports: int = 20) -> DataFrame:
     """Sources that reach at least ``min_ports`` different destination ports within a window.
 
     A batch counts distinct ports in two shuffled steps, by (source, window, port) and then by
-    (source, window), so a hot source is spread over its ports. A stream cannot count distinct, and
-    collects the set instead; a set holds at most 65,536 entries as only valid ports enter.
+    (source, window), so a hot source is spread over its ports. A stream cannot count distinct: it sets one
+    bit per port instead, in two bitmaps of 4 KB, which task and state merge. Only valid ports count.
     """
     port = port_number(F.col("dest_ip")).alias("port")
-    distinct: Column = F.size(F.collect_set("port")) if logs.isStreaming else F.count_distinct("port")
+    distinct: Column = _bits_set("port") if logs.isStreaming else F.count_distinct("port")
     per_window = (
         logs.select("source_ip", "event_time", port)
         .groupBy(F.window("event_time", window).alias("win"), "source_ip")

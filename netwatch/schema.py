@@ -26,6 +26,14 @@ DAY_PARTS = ("year", "month", "day")
 
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in LOG_FIELDS])
 
+TYPED_SCHEMA = T.StructType(
+    [
+        T.StructField("event_time", T.TimestampType()),
+        *(T.StructField(name, T.StringType()) for name in TEXT_FIELDS),
+        T.StructField("bytes_transferred", T.LongType()),
+    ]
+)
+
 ENVELOPE_SCHEMA = T.StructType(
     [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())]
 )

@@ -6,7 +6,9 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from netwatch.functions.times import day_from_path
 from netwatch.operators.enrich import typed_logs
 from netwatch.schema import DAY_PARTS
 
@@ -51,6 +53,21 @@ def glob_base(path: str) -> str | None:
     return path[: sign.start()].rpartition("/")[0] if sign else None
 
 
+def read_folders(spark: SparkSession, base: str, folders: list[str]) -> DataFrame:
+    """Typed record of some day folders below ``base``, with their ``year, month, day``."""
+    return typed_logs(spark.read.options(**CSV_OPTIONS).option("basePath", base).csv(folders))
+
+
+def stored_files(spark: SparkSession, base: str) -> DataFrame:
+    """``path, length, modified`` and the day ``folder`` of the files in day folders, from the file listing.
+
+    ``base`` is a folder of day folders, or one of these. No log file is opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+    listed = files.select("path", "length", F.col("modificationTime").alias("modified"))
+    return listed.withColumn("folder", day_from_path(F.col("path"))).filter(F.col("folder").isNotNull())
+
+
 def stored_days(spark: SparkSession, base: str) -> DataFrame:
     """The day folders that hold files, from the file listing: no log file is opened."""
     files = spark.read.format("binaryFile").load(base)

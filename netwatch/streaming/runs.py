@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from netwatch import rules
 from netwatch.functions.identity import row_hash
 from netwatch.operators.detectors import (
     AsOf,
@@ -16,7 +17,8 @@ from netwatch.operators.detectors import (
     detect_signatures,
     ip_scores,
 )
-from netwatch.streaming.tables import upsert_batch
+from netwatch.schema import TYPED_SCHEMA
+from netwatch.streaming.tables import KeyedTable
 
 # The tables and their keys. Events that share source and time are kept apart by a hash.
 TABLE_KEYS = {
@@ -26,6 +28,11 @@ TABLE_KEYS = {
     "ip_threat_scores": ("source_ip", "window_start"),
 }
 
+# The table whose rows expire, by which time, and after how many seconds. Its copies of a row are kept.
+EXPIRING = {"realtime_threats": ("window_start", rules.THREAT_TTL_SECONDS)}
+# Batches between two compactions of a table.
+COMPACT_EVERY = 16
+
 # State outside the Java heap, checkpointed as changes instead of as whole snapshots.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -46,6 +53,17 @@ def detector_tables(logs: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]
     }
 
 
+def alert_table(spark: SparkSession, root: str, name: str, **options) -> KeyedTable:
+    """The table of that name below ``root``; it can be read before anything was written."""
+    schema = detector_tables(spark.createDataFrame([], TYPED_SCHEMA))[name].schema
+    if name in EXPIRING:
+        written_at, ttl = EXPIRING[name]
+        options = {"written_at": written_at, "ttl_seconds": ttl} | options
+    else:
+        options = {"keys": TABLE_KEYS[name]} | options
+    return KeyedTable(spark, f"{root}/{name}", schema=schema, **options)
+
+
 def with_lateness(logs: DataFrame, delay: str | None = None) -> DataFrame:
     """Bounds the state by a watermark. Rows later than ``delay`` may be lost; None keeps all rows."""
     return logs if delay is None else logs.withWatermark("event_time", delay)
@@ -61,15 +79,16 @@ def run_detectors(
     as_of: AsOf = None,
     state_partitions: int | None = None,
     sink: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> dict[str, StreamingQuery]:
     """Starts one query per table in update mode and returns them by table.
 
     Tables are written below ``root`` unless ``sink`` gives another ``foreachBatch`` function for a
-    table. The number of state partitions is fixed by the first run of a checkpoint, so choose it
+    table; every ``compact_every`` batches they are compacted, and days past their time are dropped. The number of state partitions is fixed by the first run of a checkpoint, so choose it
     for the cluster; by default it is the session's number of shuffle partitions. State is kept in
     RocksDB, outside the Java heap, since without a watermark it never expires.
     """
-    sink = sink or (lambda table: upsert_batch(f"{root}/{table}"))
+    sink = sink or (lambda table: alert_table(spark, root, table).sink(compact_every))
     settings = dict(STATE_SETTINGS)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
