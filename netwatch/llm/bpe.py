@@ -4,7 +4,7 @@ The words of a slice of texts that are not in the vocabulary are laid out one af
 inverted index holds, for each rank, the positions of the token pairs that the rank merges. Ranks are
 taken in rising order; a merge touches the pairs to its left and right only. A word's tokens do not
 depend on the words beside it, so slices need nothing from each other: no shuffle, and a lost task
-repeats its own slice. The words of earlier slices of a task are kept, up to ``KEPT_WORDS``; then the older half goes.
+repeats its own slice. The words of earlier slices of a task are kept, up to ``ENCODED_WORDS``; then the older half goes.
 Digests are made from what is kept for each word: its ids as text, and the bytes that its ids decode to.
 
 Defined results: a NULL text is an empty text and has no tokens; special tokens are ordinary text.
@@ -18,12 +18,15 @@ from collections.abc import Callable, Iterable
 from heapq import heapify, heappop, heappush
 from itertools import chain, islice
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
 from netwatch.llm.tasks import per_text
 
 KEPT_WORDS = 250_000
+# Words that an encoder keeps with their tokens: about 100 MB in each Python worker.
+ENCODED_WORDS = 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -33,8 +36,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[tuple[int, ...]]:
-    """The token ids of each word, by merging all words together in rank order.
+def pair_ranks(ranks: dict[bytes, int]) -> np.ndarray:
+    """The rank of each pair of bytes, -1 where the pair is no token."""
+    return np.array([ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)])
+
+
+def replay(words: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray | None = None) -> list[tuple[int, ...]]:
+    """The token ids of each word, by merging all words together in rank order. ``pairs`` are the ``pair_ranks``.
 
     A token is known by where it starts; ``end`` and ``before`` lead to its neighbours. ``wanted`` is the
     rank of the pair that starts at a position, so entries of the index that no longer hold are seen.
@@ -50,25 +58,21 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[tuple[int, ...]]
     for word in words:
         opens[at] = 1
         at += len(word)
-    wanted: list[int | None] = [None] * size
     index: dict[int, list[int]] = {}
-    for i in range(size - 1):
-        if not opens[i + 1] and (rank := rank_of(text[i : i + 2])) is not None:
-            wanted[i] = rank
-            index.setdefault(rank, []).append(i)
+    wanted: list[int] = [-1] * size
+    if size > 1:
+        codes = np.frombuffer(text, np.uint8).astype(np.int64)
+        first = (pair_ranks(ranks) if pairs is None else pairs)[(codes[:-1] << 8) | codes[1:]]
+        first[np.frombuffer(opens, np.uint8)[1:size] == 1] = -1
+        wanted[:-1] = first.tolist()
+        order = np.argsort(first, kind="stable")
+        order = order[np.searchsorted(first[order], 0) :]
+        found, starts = np.unique(first[order], return_index=True)
+        for rank, a, b in zip(found.tolist(), starts, [*starts[1:], len(order)]):
+            index[rank] = order[a:b].tolist()
     heap = list(index)
     heapify(heap)
 
-    def enter(rank: int | None, position: int) -> None:
-        wanted[position] = rank
-        if rank is not None:
-            places = index.get(rank)
-            if places is None:
-                index[rank] = [position]
-                heappush(heap, rank)
-            else:
-                places.append(position)
-
     while heap:
         rank = heappop(heap)
         places = sorted(index.pop(rank))
@@ -77,22 +81,32 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[tuple[int, ...]]
                 continue
             middle = end[i]
             stop = end[i] = end[middle]
-            wanted[middle] = None
+            wanted[middle] = -1
             lowest = rank
             if opens[stop]:
-                wanted[i] = None
+                wanted[i] = -1
             else:
                 before[stop] = i
-                found = rank_of(text[i : end[stop]])
-                enter(found, i)
-                if found is not None and found < lowest:
-                    lowest = found
+                found = wanted[i] = rank_of(text[i : end[stop]], -1)
+                if found >= 0:
+                    if found in index:
+                        index[found].append(i)
+                    else:
+                        index[found] = [i]
+                        heappush(heap, found)
+                    if found < lowest:
+                        lowest = found
             if not opens[i]:
                 left = before[i]
-                found = rank_of(text[left:stop])
-                enter(found, left)
-                if found is not None and found < lowest:
-                    lowest = found
+                found = wanted[left] = rank_of(text[left:stop], -1)
+                if found >= 0:
+                    if found in index:
+                        index[found].append(left)
+                    else:
+                        index[found] = [left]
+                        heappush(heap, found)
+                    if found < lowest:
+                        lowest = found
             if lowest < rank:  # that one comes first; the rest of this rank waits
                 if rest := places[k + 1 :]:
                     if rank in index:
@@ -118,16 +132,19 @@ class Encoder:
 
     def __init__(self, path: str, pattern: str) -> None:
         self.ranks = read_ranks(path)
+        self.pairs = pair_ranks(self.ranks)
         self.words = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.spelled: dict[str, tuple[str, bytes]] = {}  # the ids as text, and the bytes that they decode to
 
     def split(self, texts: list[bytes | None]) -> list[list[str]]:
         """The words of each text; those that are not known yet are merged first."""
         found = [self.words(text.decode("utf-8", "replace")) if text else [] for text in texts]
-        if len(self.known) > KEPT_WORDS:
-            for old in list(islice(self.known, KEPT_WORDS // 2)):
+        if len(self.known) > ENCODED_WORDS:
+            for old in list(islice(self.known, ENCODED_WORDS // 2)):
                 del self.known[old]
+                del self.spelled[old]
         new = set().union(*found).difference(self.known)
         open_words = []
         for word in new:
@@ -136,7 +153,10 @@ class Encoder:
                 self.known[word] = (whole,)
             else:
                 open_words.append(word)
-        self.known.update(zip(open_words, replay([word.encode() for word in open_words], self.ranks)))
+        self.known.update(zip(open_words, replay([word.encode() for word in open_words], self.ranks, self.pairs)))
+        for word in new:
+            ids = self.known[word]
+            self.spelled[word] = (",".join(map(str, ids)), self.decode(ids))
         return found
 
     def encode(self, texts: list[bytes | None]) -> list[list[int]]:
@@ -183,15 +203,11 @@ def round_trip(
 
         def work(values: list) -> dict[str, list]:
             split = coder.split(values)
-            spelled = {}
-            for word in set().union(*split):
-                ids = coder.known[word]
-                spelled[word] = (",".join(map(str, ids)), coder.decode(ids))
             found: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             if with_ids:
                 found["token_ids"] = [list(chain.from_iterable(map(coder.known.__getitem__, words))) for words in split]
             for words in split:
-                names, pieces = zip(*map(spelled.__getitem__, words)) if words else ((), ())
+                names, pieces = zip(*map(coder.spelled.__getitem__, words)) if words else ((), ())
                 joined = ",".join(names)
                 found["n_tokens"].append(joined.count(",") + 1 if words else 0)
                 found["ids_sha256"].append(digest(joined.encode()))

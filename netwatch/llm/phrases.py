@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from netwatch.llm.tasks import saved, sliced, texts
+from netwatch.llm.tasks import discard, saved, sliced, texts
 
 LONGEST = 3
 FEWEST = 10
@@ -50,7 +50,7 @@ SLOT_BITS = (20, 29)
 # Slots of a length are added up in this many parts, powers of two.
 PART_BITS = 9
 GROUPS = 32
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 # The bytes that end a piece, as a line end; A-Z become a-z by bytes.lower. The split of bytes at
 # white space then leaves words of anything but blanks and tabs, as all other white space ends a piece.
@@ -182,11 +182,11 @@ def windows(frame: DataFrame, longest: int, fewest: int, bits: int) -> DataFrame
     ``frame`` holds a language and the text as bytes.
     """
     parts = frame.mapInArrow(counted_slots(longest, bits), "length int, part int, packed binary")
-    rows = (
-        parts.repartition("length", "part")
-        .mapInArrow(full_slots(fewest, bits), "length int, part int, full binary")
-        .collect()  # at most a bit per slot and length
-    )
+    dealt = parts.repartition("length", "part")
+    # Written first, so that the counts of the slots leave the disks before the windows come.
+    found = saved(dealt.mapInArrow(full_slots(fewest, bits), "length int, part int, full binary"), "slots")
+    rows = found.collect()  # at most a bit per slot and length
+    discard(found)
     full = {n: np.zeros(1 << (bits - 3), np.uint8) for n in range(1, longest + 1)}
     size = 1 << (bits - PART_BITS - 3)
     for row in rows:
