@@ -52,6 +52,7 @@ SIGNATURE = (
 )
 SIGNED = f"(regexp_matches(request_path, {SIGNATURE}) OR regexp_matches(user_agent, {SIGNATURE}))"
 STAMP = "TIMESTAMP '2024-02-01 00:00:00'"
+STAMP_OF_EXPIRY = "TIMESTAMP '2024-01-30 12:00:00'"
 FACTS = "event_id, event_time, source_ip, threat_label"
 
 
@@ -283,3 +284,47 @@ SELECT source_ip, event_time, event_id FROM logs ORDER BY source_ip, event_time
     "stream_data_exfil": on_logs(EXFIL, 60),
     "stream_ip_scores": on_logs(IP_SCORES, 60),
 }
+
+ORACLES |= {
+    "incremental_patterns": ORACLES["attack_patterns_b"],
+    "incremental_timeline": ORACLES["threat_timeline_bytes"],
+    "late_files": ORACLES["merged_reputation"],
+    "repartitioned_increment": ORACLES["attack_patterns_b"],
+    "run_days": f"SELECT * FROM ({ORACLES['attack_patterns_a']}) WHERE detection_date > DATE '2024-01-27'",
+    "pending_folders": ORACLES["pending_days"],
+    "is_empty": on_logs("""
+SELECT count(*) = 0 AS log_empty, count(*) FILTER (WHERE threat_label = 'unknown') = 0 AS unknown_empty FROM logs"""),
+    "versions_of_patterns": on_logs(f""",
+batches AS (SELECT unnest(range(8)) AS batch),
+counts AS (
+  SELECT {TYPE_B} AS attack_type, CAST(event_time AS DATE) AS detection_date, batch, count(*) AS attack_count
+  FROM logs JOIN batches ON event_id % 8 <= batch WHERE {TYPE_B} <> 'Normal' GROUP BY ALL)
+SELECT attack_type, detection_date, attack_count, concat_ws('#', attack_type, CAST(detection_date AS VARCHAR)) AS row_key,
+       CAST(row_number() OVER (PARTITION BY attack_type, detection_date ORDER BY batch DESC) AS INT) AS version
+FROM counts QUALIFY version <= 5"""),
+    "read_day": on_logs(RECORD.format(day_parts="") + " WHERE CAST(event_time AS DATE) = DATE '2024-01-30'"),
+    "read_glob": f"SELECT * EXCLUDE (year, month) FROM ({ORACLES['day_folders']}) WHERE day BETWEEN 10 AND 19",
+    "raw_inferred": on_logs("""
+SELECT count(*) AS event_count, CAST(sum(bytes_transferred) AS BIGINT) AS total_bytes, max(event_time) AS newest FROM logs"""),
+    "day_from_path": ORACLES["day_summary"],
+    "dynamic_overwrite": on_logs("""
+SELECT CAST(event_time AS DATE) AS day, count(*) AS event_count
+FROM logs WHERE CAST(event_time AS DATE) <= DATE '2024-01-20' OR event_id % 2 = 0 GROUP BY 1"""),
+    "view_parquet": ORACLES["ip_reputation_risk"],
+    "default_time": on_logs(f"""
+SELECT event_id, CASE WHEN event_id % 19 = 0 THEN {STAMP} ELSE event_time END AS event_time FROM logs"""),
+    "formatted_time": on_logs("""
+SELECT event_id, date_trunc('second', event_time) AS event_time FROM logs"""),
+    "stream_port_scans": ORACLES["port_scans"],
+    "compacted_scores": ORACLES["stream_ip_scores"],
+    "live_threats": on_logs(f"{SIGNATURES} AND event_time > {STAMP_OF_EXPIRY} - INTERVAL 86400 SECOND"),
+    "four_streams": "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, count(DISTINCT source_ip) AS source_count FROM ({ORACLES[name]})"
+        for table, name in (
+            ("brute_force_alerts", "stream_brute_force"),
+            ("realtime_threats", "stream_signatures"),
+            ("data_exfil_alerts", "stream_data_exfil"),
+            ("ip_threat_scores", "stream_ip_scores"),
+        )
+    ),
+}
