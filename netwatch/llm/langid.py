@@ -57,7 +57,7 @@ def parts(word: str) -> Iterator[str]:
         yield f"{START}{word[at : at + LONGEST]}{END}"
 
 
-def training_rows(docs: DataFrame, most: int, lang: str, id_column: str) -> DataFrame:
+def training_rows(docs: DataFrame, most: int, lang: str, text: str, id_column: str) -> DataFrame:
     """About ``most`` rows per language, by a hash of id and text; all rows of a language that has fewer."""
     labelled = docs.filter(F.col(lang).isNotNull())
     counts = {row[0]: row[1] for row in labelled.groupBy(lang).count().collect()}
@@ -65,7 +65,7 @@ def training_rows(docs: DataFrame, most: int, lang: str, id_column: str) -> Data
     for name, count in counts.items():
         if count > most:
             share = F.when(F.col(lang) == name, most / count).otherwise(share)
-    return labelled.filter(F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) < share * (1 << 20))
+    return labelled.filter(F.pmod(F.xxhash64(id_column, text), F.lit(1 << 20)) < share * (1 << 20))
 
 
 def word_counts(rows: DataFrame, lang: str, text: str) -> DataFrame:
@@ -242,7 +242,7 @@ def train(
     order: int = ORDER, most_rows: int = MOST_ROWS,
 ) -> Model:
     """The model of all rows given; leave out held-out ones before."""
-    rows = training_rows(docs, most_rows, lang, id_column)
+    rows = training_rows(docs, most_rows, lang, text, id_column)
     counts: dict[str, dict[str, int]] = {}
     for batch in gram_counts(word_counts(rows, lang, text), order).toArrow().to_batches(10_000):
         for name, gram, n in zip(*(column.to_pylist() for column in batch.columns)):

@@ -24,15 +24,30 @@ from netwatch.llm.tasks import numbered_names, per_text
 # Kinds in the order of their listing.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "national_phone", "ssn")
-# Lengths of an account number with its country code.
+# Lengths of an account number with its country code, and those of the countries that fix one.
 IBAN_LENGTHS = (15, 34)
+COUNTRY_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22,
+    "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18,
+    "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24,
+    "XK": 20,
+}
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+# The rest of a number: as long as its country has it, or as long as it goes.
+IBAN_REST = {
+    n: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in {*COUNTRY_LENGTHS.values()}
+}
+IBAN_OPEN = re.compile(r"(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 NATIONAL = re.compile(r"(?<![0-9+().-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
@@ -111,10 +126,14 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for match in IBAN.finditer(text):
-        account = match[0].replace(" ", "")
-        if IBAN_LENGTHS[0] <= len(account) <= IBAN_LENGTHS[1] and mod97(account):
-            yield match.span()
+    done = 0
+    for start in IBAN_START.finditer(text):
+        rest = IBAN_REST.get(COUNTRY_LENGTHS.get(start[0][:2]), IBAN_OPEN)
+        if start.start() >= done and (match := rest.match(text, start.end())):
+            account = (start[0] + match[0]).replace(" ", "")
+            if IBAN_LENGTHS[0] <= len(account) <= IBAN_LENGTHS[1] and mod97(account):
+                yield start.start(), match.end()
+                done = match.end()
 
 
 def matches(pattern: re.Pattern) -> Callable[[str], Iterator[tuple[int, int]]]:

@@ -11,8 +11,8 @@ documents are then read once and not shuffled. Beyond that, fingerprints are joi
 common one meet their items by id of the row. Both ways call the same comparison and give the same rows.
 
 Defined results: NULL, empty and word-less texts have no words and no hits; word-less items never occur.
-Equal items are each reported. Rows with equal ids are judged each by its own text. A NULL item id
-counts for hits but is not listed.
+Equal items are each reported. Rows with equal ids are judged each by its own text. Items with one id and several
+texts are listed once if any of them occurs. A NULL item id counts for hits but is not listed.
 """
 
 from __future__ import annotations
@@ -170,7 +170,7 @@ def judged(items: Items, values: list, known: Hashes) -> dict[str, list]:
         n_hit, numbers = items.hits(words, known)
         out["n_words"].append(len(words))
         out["n_hit"].append(n_hit)
-        out["item_ids"].append(sorted(str(items.ids[n]) for n in numbers if items.ids[n] is not None))
+        out["item_ids"].append(sorted({str(items.ids[n]) for n in numbers if items.ids[n] is not None}))
     return out
 
 

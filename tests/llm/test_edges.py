@@ -262,6 +262,11 @@ def test_pii_adds_and_masks(docs, empty, spark):
     kinds = [pii.KINDS[s.kind] for s in pii.find_spans(text)]
     assert kinds[0] == "iban" and "ssn" in kinds and kinds.count("national_phone") >= 1
     assert not [s for s in pii.find_spans("DE89 3704 0044 0532 0130 01") if pii.KINDS[s.kind] == "iban"]
+    number = "DE89 3704 0044 0532 0130 00"
+    for after in ("", " BIC COBADEFF", ", bank", " 12", " GB82 WEST 1234 5698 7654 32"):
+        spans = pii.find_spans(f"IBAN {number}{after}")
+        assert (spans[0].start, pii.KINDS[spans[0].kind], spans[0].end) == (5, "iban", 5 + len(number)), after
+        assert len(spans) == 1 + after.startswith(" GB")
     masked = {r.doc_id: r for r in pii.mask_pii(docs).collect()}
     assert masked[0].text is None and masked[18].text == "<EMAIL> <PHONE>"  # the phone pattern takes in ` 1.2.3.4`: 15 digits
     assert pii.mask_pii(docs).columns == docs.columns
@@ -381,6 +386,21 @@ def test_winnowing_of_few_words(spark):
         assert [(a, b, c, len(d), brute.sha(",".join(d)), c > 0) for a, b, c, d in got] == brute.contamination(rows, items)
 
 
+def test_winnowing_of_items_with_one_id(spark):
+    items = [(7, ENGLISH), (7, GERMAN), (8, ENGLISH), (None, GERMAN)]
+    rows = [(1, f"so {ENGLISH} and {GERMAN}"), (2, GERMAN), (3, "nothing of these")]
+    frames = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for most in (1_000_000, 0):
+        got = found(winnow.contaminated(*frames, ["doc_id"], broadcast_words=most), "doc_id", "item_ids")
+        assert got == [(1, ["7", "8"]), (2, ["7"]), (3, [])]
+
+
+def test_training_rows_keep_their_bound_without_ids(spark):
+    rows = [(None, f"text {i}", "en") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert 300 < langid.training_rows(docs, 500, "lang", "text", "doc_id").count() < 700
+
+
 def test_pipeline_stages_keep_columns(spark, docs, empty):
     folder = "/root/testdata/sf0.001"
     for name, stage in corpus_pipeline.STAGES:
