@@ -1,14 +1,19 @@
 """Quality by robust outliers: minimum covariance determinant of text statistics per language and source.
 
 Statistics of each text are array and string functions. Rows that pass the base rules are points with one
-coordinate per entry of ``COORDINATES``; rows of one language and source are a group, and groups of fewer than
-``LEAST_ROWS`` share one. For each group the half of its rows with the smallest determinant of covariance is
-sought by concentration: from a start, the ``SHARE`` of rows nearest to the centre gives the next
-centre and covariance. There are two starts, the medians with their deviations, and the plain mean and covariance; the
-smaller determinant counts. Rows farther than ``CUTOFF`` in squared Mahalanobis distance are rejected.
+coordinate per entry of ``COORDINATES``; rows of one language and source are a group. No covariance can be learned from
+fewer than ``LEAST_ROWS``: such groups share one per language, and languages that are too few even then share one.
+For each group the half of its rows, ``(n + p + 1) / 2`` of n with p coordinates, with the smallest determinant of
+covariance is sought by concentration: from a start, the nearest half gives the next centre and covariance, until
+no group's determinant falls any more. There are two starts, the medians with their deviations, and the plain mean and
+covariance; the smaller determinant counts. Distances are scaled so that their median is that of chi square. The rows
+within its ``INNER`` quantile then give the final centre and covariance (reweighting), scaled by their own median.
+Rows farther than ``CUTOFF`` in squared Mahalanobis distance are rejected. With less than half of a group far
+off, centre and covariance are those of the others.
 
 Distances are ranked by counting them in bins of a sixteenth of an octave, so that a group with a third of all
-rows needs no sort: each step is two aggregations and a join with one row per group.
+rows needs no sort: each step is two aggregations and a join with one row per group. All rows of the bin that
+holds the half's last one are inside.
 
 Everything is DataFrame functions; no Python runs in tasks.
 
@@ -44,10 +49,12 @@ COORDINATES = {
 NAMES = tuple(COORDINATES)
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 LEAST_ROWS = 50
-SHARE = 0.75
-STEPS = 3
-# The median of chi square with four degrees of freedom, and of a normal's absolute value.
-CHI_MEDIAN, NORMAL_MEDIAN = 3.357, 0.6745
+# A step goes on if some group's log determinant falls by more than this; determinants are bounded from below.
+FALL = 0.01
+# The median and the 97.5 % quantile of chi square with four degrees of freedom, and the median of a
+# normal's absolute value.
+CHI_MEDIAN, INNER, NORMAL_MEDIAN = 3.357, 11.143, 0.6745
+# The quantile that one in 60 million normal points passes. Clean texts have longer tails than a normal.
 CUTOFF = 42.0
 OCTAVE = 16
 # Places of a coordinate that medians tell apart.
@@ -100,10 +107,18 @@ def with_points(rows: DataFrame, lang: str, source: str) -> DataFrame:
     """Coordinates and group of each row; rows that fail the base have no coordinates."""
     points = rows.withColumns(
         {name: F.when(~F.col("base_failed"), F.expr(sql)) for name, (sql, _) in COORDINATES.items()}
-    ).withColumn("_own", F.to_json(F.struct(F.col(lang).alias("a"), F.col(source).alias("b"))))
-    counts = points.filter(~F.col("base_failed")).groupBy("_own").count().filter(F.col("count") >= LEAST_ROWS)
-    large = saved(counts.select(F.col("_own").alias("_group")), "groups")
-    return points.join(large, F.col("_own") == F.col("_group"), "left").withColumn(
+    ).withColumns(
+        {
+            "_own": F.to_json(F.struct(F.col(lang).alias("a"), F.col(source).alias("b"))),
+            "_pool": F.to_json(F.struct(F.col(lang).alias("a"))),
+        }
+    )
+    counts = saved(points.filter(~F.col("base_failed")).groupBy("_own", "_pool").count(), "groups")
+    small = F.col("count") < LEAST_ROWS
+    pools = counts.filter(small).groupBy("_pool").agg(F.sum("count").alias("_size"))
+    group = F.when(~small, F.col("_own")).when(F.col("_size") >= LEAST_ROWS, F.col("_pool")).otherwise(F.lit("rest"))
+    large = saved(counts.join(pools, "_pool", "left").select(F.col("_own").alias("_key"), group.alias("_group")), "groups")
+    return points.join(large, F.col("_own") == F.col("_key"), "left").drop("_key", "_pool").withColumn(
         "_group", F.coalesce("_group", F.lit("rest"))
     )
 
@@ -156,25 +171,47 @@ def distance_bin() -> Column:
 
 
 def rank_bins(points: DataFrame, params: DataFrame) -> DataFrame:
-    """The parameters with the bin that the nearest SHARE of a group's rows reaches, and that of the median."""
+    """The parameters with the bin that the nearest half of a group's rows reaches, and that of the median."""
     bins = points.join(params, "_group").groupBy("_group", distance_bin().alias("_bin")).count()
     group = Window.partitionBy("_group")
     below = F.sum("count").over(group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
     ranked = bins.select("_group", "_bin", below.alias("_below"), F.sum("count").over(group).alias("_all"))
     cuts = ranked.groupBy("_group").agg(
-        F.min(F.when(F.col("_below") >= SHARE * F.col("_all"), F.col("_bin"))).alias("near"),
+        F.min(F.when(2 * F.col("_below") >= F.least(F.col("_all") + len(NAMES) + 1, 2 * F.col("_all")), F.col("_bin"))).alias("near"),
         F.min(F.when(2 * F.col("_below") >= F.col("_all"), F.col("_bin"))).alias("half"),
     )
     return params.join(cuts, "_group")
 
 
+def nearest(points: DataFrame, params: DataFrame, label: str) -> DataFrame:
+    """The parameters of each group's half that is nearest by the given ones."""
+    cut = saved(rank_bins(points, params), label)
+    near = points.join(cut, "_group").filter(distance_bin() <= F.col("near"))
+    return saved(with_whitening(moments(near)), label)
+
+
 def concentrated(points: DataFrame, start: DataFrame, label: str) -> DataFrame:
-    params = saved(with_whitening(start), label)
-    for _ in range(STEPS):
-        cut = saved(rank_bins(points, params), label)
-        near = points.join(cut, "_group").filter(distance_bin() <= F.col("near"))
-        params = saved(with_whitening(moments(near)), label)
-    return params
+    """The parameters of the half that concentration ends at. A start is no half, so the first step always counts."""
+    params = nearest(points, saved(with_whitening(start), label), label)
+    while True:
+        after = nearest(points, params, label)
+        both = params.alias("p").join(after.alias("a"), "_group")
+        fell = both.filter(F.col("a.log_det") < F.col("p.log_det") - FALL).limit(1).count()
+        if not fell:
+            return params
+        params = after
+
+
+def scale() -> Column:
+    """What a group's distances are divided by, so that their median is that of chi square; 1 at least."""
+    return F.greatest(F.pow(F.lit(2.0), (F.col("half") + F.lit(0.5)) / OCTAVE) / CHI_MEDIAN, F.lit(1.0))
+
+
+def reweighted(points: DataFrame, params: DataFrame) -> DataFrame:
+    """Centre and covariance of the rows that are not far off by the given ones."""
+    cut = saved(rank_bins(points, params), "halves")
+    inner = points.join(cut, "_group").filter(distance() <= INNER * scale())
+    return saved(with_whitening(moments(inner)), "reweighted")
 
 
 def median_start(points: DataFrame) -> DataFrame:
@@ -222,9 +259,8 @@ def judged(
     ]
     both = reduce(DataFrame.unionByName, fits)
     best = both.groupBy("_group").agg(F.min_by(F.struct(*both.columns[1:]), "log_det").alias("best"))
-    params = saved(rank_bins(points, best.select("_group", "best.*")), "best")
-    scale = F.greatest(F.pow(F.lit(2.0), (F.col("half") + F.lit(0.5)) / OCTAVE) / CHI_MEDIAN, F.lit(1.0))
-    found = rows.join(params, "_group", "left").withColumn("distance", distance() / scale)
+    params = saved(rank_bins(points, reweighted(points, best.select("_group", "best.*"))), "best")
+    found = rows.join(params, "_group", "left").withColumn("distance", distance() / scale())
     return found.select(
         *(F.col(f"_k{i}").alias(name) for i, name in enumerate(keep)),
         *STATISTICS,

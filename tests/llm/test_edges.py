@@ -243,6 +243,53 @@ def test_outliers_reject_far_rows_only(spark):
     assert kept == set(range(300))
 
 
+def test_outliers_stand_with_two_fifths_junk(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(5_000)]
+    clean = [" ".join(rng.choices(words, k=rng.randint(60, 300))) for _ in range(300)]
+    odd = [" ".join(w + "###" for w in rng.choices(words, k=100)) for _ in range(200)]
+    few = [" ".join(rng.choices(words, k=100)) for _ in range(45)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean + odd)]
+    rows += [(500 + i, t, "de", f"s{i % 3}") for i, t in enumerate(few * 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in outliers.judged(frame, ["doc_id"]).filter("kept").collect()}
+    assert kept == set(range(300)) | set(range(500, 590))
+
+
+def plain_determinant(points):
+    """Concentration in numpy with exact ranks, from the median start: which rows are near enough."""
+    least = np.array([floor for _, floor in outliers.COORDINATES.values()])
+    half = (len(points) + points.shape[1] + 1 + 1) // 2
+
+    def squared(centre, cov):
+        off = points - centre
+        return np.einsum("ij,ij->i", off, np.linalg.solve(cov, off.T).T)
+
+    def moments(rows):
+        return rows.mean(axis=0), np.cov(rows.T, bias=True) + np.diag(least**2)
+
+    centre = np.median(points, axis=0)
+    spread = np.median(abs(points - centre), axis=0) / outliers.NORMAL_MEDIAN
+    d = squared(centre, np.diag(spread**2 + least**2))
+    for _ in range(50):
+        d = squared(*moments(points[np.argsort(d, kind="stable")[:half]]))
+    scale = max(np.median(d) / outliers.CHI_MEDIAN, 1)
+    d = squared(*moments(points[d <= outliers.INNER * scale]))
+    return d / max(np.median(d) / outliers.CHI_MEDIAN, 1)
+
+
+def test_outliers_agree_with_plain_determinant(spark):
+    """All verdicts but those of rows near the cutoff, which ranks by bins may turn."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id", "text", "'en' lang", "'s' source")
+    got = outliers.judged(docs, ["doc_id"]).filter("NOT base_failed").selectExpr(
+        "doc_id", "kept", *(f"{sql} AS {name}" for name, (sql, _) in outliers.COORDINATES.items())
+    ).toPandas()
+    own = plain_determinant(got[list(outliers.COORDINATES)].to_numpy(float))
+    sure = (own < outliers.CUTOFF / 1.5) | (own > outliers.CUTOFF * 1.5)
+    assert sure.mean() > 0.9
+    assert (got["kept"].to_numpy() == (own <= outliers.CUTOFF))[sure].all()
+
+
 def test_outliers_use_no_python(docs):
     plan = outliers.judged(docs, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
