@@ -18,6 +18,7 @@ from netwatch.plans.increments import (
     run_days,
     run_incremental,
 )
+from netwatch.plans.publish import publish_files
 from netwatch.session import build_session
 from netwatch.sinks.days import WRITE_OPTIONS, write_by_day, write_view
 from netwatch.sources.envelope import decode_envelope, encode_envelope
@@ -60,17 +61,26 @@ def incremental(spark: SparkSession, args: argparse.Namespace) -> None:
     print(run_incremental(spark, args.base, args.state, partitions=args.partitions))
 
 
+def _merged(spark: SparkSession, state: str) -> dict[str, DataFrame]:
+    return {
+        "ip_reputation": merged_reputation(spark, state),
+        "attack_patterns": merged_patterns(spark, state),
+        "threat_timeline": merged_timeline(spark, state),
+    }
+
+
 def views(spark: SparkSession, args: argparse.Namespace) -> None:
     """The merged views in columnar form."""
-    merged: dict[str, DataFrame] = {
-        "ip_reputation": merged_reputation(spark, args.state),
-        "attack_patterns": merged_patterns(spark, args.state),
-        "threat_timeline": merged_timeline(spark, args.state),
-    }
-    for name, view in merged.items():
+    for name, view in _merged(spark, args.state).items():
         write_view(view, f"{args.output}/{name}")
 
 
+def publish(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The merged views as cells and points in file stores; the same run again replaces its rows."""
+    for name, view in _merged(spark, args.state).items():
+        publish_files(view, name, args.store, args.run)
+
+
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """The four detectors over a message stream, until one of them ends."""
     logs = decode_envelope(read_stream(spark, args.source, **_options(args.option)))
@@ -115,6 +125,7 @@ def parse(argv: Sequence[str]) -> argparse.Namespace:
     job(days, "base", "state")
     job(incremental, "base", "state").add_argument("--partitions", type=int)
     job(views, "state", "output")
+    job(publish, "state", "store").add_argument("--run", default="latest")
     sub = job(stream, "root", "checkpoint")
     sub.add_argument("--source", default="kafka")
     sub.add_argument("--option", action="append", default=[], metavar="NAME=VALUE")

@@ -36,13 +36,14 @@ def to_points(
     measurement: str,
     tags: Sequence[str],
     fields: Sequence[str],
-    time_col: str,
+    time_col: str | None,
     as_of: dt.datetime | str | None = None,
 ) -> DataFrame:
     """One point per row: ``measurement, tags, longs, doubles, bools, strings, time``.
 
     Tags are text. Fields keep integer, floating and boolean types, all others become text. NULL
-    tags and fields are left out; a NULL time becomes ``as_of``, by default the time of the query.
+    tags and fields are left out; a NULL time, or that of a frame without one, becomes ``as_of``, by default the
+    time of the query.
     """
     types = {field.name: field.dataType for field in df.schema}
     groups: dict[str, list[str]] = {"bigint": [], "double": [], "boolean": [], "string": []}
@@ -55,7 +56,7 @@ def to_points(
         _value_map(groups["double"], types, "double").alias("doubles"),
         _value_map(groups["boolean"], types, "boolean").alias("bools"),
         _value_map(groups["string"], types, "string").alias("strings"),
-        F.coalesce(F.col(time_col).cast("timestamp"), stamp(as_of)).alias("time"),
+        (F.coalesce(F.col(time_col).cast("timestamp"), stamp(as_of)) if time_col else stamp(as_of)).alias("time"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from netwatch.functions.times import day_from_path, parse_time
 from netwatch.operators import days, detectors, enrich, filters, keyed, serving, shaping, split, views
 from netwatch.plans import increments
 from netwatch.session import work_dir
+from netwatch.sinks.committed import FileStore, read_files, write_committed
 from netwatch.sinks.days import write_by_day, write_view
 from netwatch.sources.envelope import decode_envelope, encode_envelope
 from netwatch.sources.events import logs_view, read_events, stream_events
@@ -151,14 +152,18 @@ def _cells(logs: DataFrame) -> DataFrame:
 
 
 def _points(logs: DataFrame) -> DataFrame:
-    """Points of the reputation view, with the maps opened into columns."""
-    points = shaping.to_points(
+    """Points of the reputation view."""
+    return shaping.to_points(
         views.ip_reputation(logs, day=DAY),
         "ip_reputation",
         ["source_ip"],
         ["total_requests", "threat_count", "threat_score", "risk_level"],
         "detection_date",
     )
+
+
+def _opened(points: DataFrame) -> DataFrame:
+    """Points with their maps opened into columns."""
     return points.select(
         "measurement",
         F.try_element_at("tags", F.lit("source_ip")).alias("tag_source_ip"),
@@ -171,6 +176,19 @@ def _points(logs: DataFrame) -> DataFrame:
     )
 
 
+def _published(shape: Callable[[DataFrame], DataFrame]) -> Query:
+    """Rows for a store, written twice as the same run, as by a job that is started again, and read back."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        root = work_dir(spark, "store")
+        rows = shape(_logs(spark, folder))
+        for _ in range(2):
+            write_committed(rows, partial(FileStore, root), "views")
+        return read_files(spark, root, rows.schema)
+
+    return run
+
+
 def _round_trip(logs: DataFrame) -> DataFrame:
     return decode_envelope(encode_envelope(logs))
 
@@ -412,7 +430,9 @@ QUERIES: dict[str, Query] = {
     "ordered_split": _on_logs(_split),
     "replay_chunks": _on_logs(_chunks),
     "cells": _on_logs(_cells),
-    "points": _on_logs(_points),
+    "points": _on_logs(lambda logs: _opened(_points(logs))),
+    "published_cells": _published(_cells),
+    "published_points": lambda spark, folder: _opened(_published(_points)(spark, folder)),
     "envelope_round_trip": _on_logs(_round_trip),
     "clustered": _on_logs(_clustered),
     "day_folders": _on_days(read_logs),

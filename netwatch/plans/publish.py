@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from netwatch.operators.shaping import to_cells, to_points
+from netwatch.sinks.committed import FileStore, write_committed
 from netwatch.sinks.stores import CELL_BATCH, POINT_BATCH, Client, fan_out, write_partitions
 
 # Column family and columns of each view's cells; qualifiers are named like the columns.
@@ -32,9 +34,9 @@ def view_cells(view: DataFrame, name: str) -> DataFrame:
 
 
 def view_points(view: DataFrame, name: str, as_of: dt.datetime | str | None = None) -> DataFrame:
-    """Points of a view, with the time of the query, or ``as_of``, where a row has none."""
+    """Points of a view, with the time of the query, or ``as_of``, where a row or the whole view has none."""
     tags, fields, time = POINTS[name]
-    return to_points(view, name, tags, fields, time, as_of)
+    return to_points(view, name, tags, fields, time if time in view.columns else None, as_of)
 
 
 def publish(
@@ -51,3 +53,14 @@ def publish(
     if point_client:
         sinks.append(lambda df: write_partitions(view_points(df, name, as_of), point_client, POINT_BATCH))
     fan_out(view, sinks)
+
+
+def publish_files(view: DataFrame, name: str, root: str, run: str, as_of: dt.datetime | str | None = None) -> None:
+    """Writes a view's cells and points to file stores below ``root``, each as a run that replaces one of the same name."""
+    fan_out(
+        view,
+        [
+            lambda df: write_committed(view_cells(df, name), partial(FileStore, f"{root}/cells"), f"{name}-{run}"),
+            lambda df: write_committed(view_points(df, name, as_of), partial(FileStore, f"{root}/points"), f"{name}-{run}"),
+        ],
+    )

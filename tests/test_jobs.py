@@ -7,6 +7,8 @@ from netwatch.operators.detectors import ip_scores
 from netwatch.operators.enrich import raw_logs, typed_logs
 from netwatch.operators.views import ip_reputation
 from netwatch.sources.events import logs_view, read_events
+from netwatch.plans.publish import POINTS
+from netwatch.sinks.committed import FileStore
 from netwatch.sources.logs import read_raw
 from netwatch.streaming.runs import TABLE_KEYS
 from netwatch.streaming.tables import read_latest
@@ -27,6 +29,13 @@ def test_from_log_to_views_and_alerts(spark, folder):
     jobs.main(["days", f"{folder}/logs", f"{folder}/state"])
     jobs.main(["views", f"{folder}/state", f"{folder}/views"])
     assert values(spark.read.parquet(f"{folder}/views/ip_reputation")) == values(ip_reputation(typed_logs(batch)))
+    for _ in range(2):
+        jobs.main(["publish", f"{folder}/state", f"{folder}/store"])
+    cells = spark.read.parquet(*FileStore(f"{folder}/store/cells").paths())
+    assert cells.count() == cells.select("row_key", "family", "qualifier").distinct().count() > 0
+    assert cells.filter("qualifier = 'threat_count'").count() == ip_reputation(typed_logs(batch)).filter("row_key IS NOT NULL").count()
+    points = spark.read.parquet(*FileStore(f"{folder}/store/points").paths())
+    assert {r.measurement for r in points.select("measurement").distinct().collect()} == set(POINTS)
     jobs.main(["incremental", f"{folder}/logs", f"{folder}/other"])
     jobs.main(["views", f"{folder}/other", f"{folder}/others"])
     assert spark.read.parquet(f"{folder}/others/threat_timeline").count() > 0
