@@ -1,14 +1,21 @@
 """Ordered splits: the rows before and after given ranks of a total order.
 
-A split needs only the order values found at its cut ranks, not a position for every row. Those are
-found by counting: each pass groups the candidates of a rank by the high bits of one order column,
-keeps the group the rank falls into, and goes on with lower bits, then with the next column. A pass is
-one aggregation of at most ``BINS`` groups per rank, its partial counts made on the map side, so no row
-is sorted or shuffled and the driver sees counts only. The split itself is then a plain comparison of
-each row with the cut values: no shuffle, and the same answer whenever a task is run again.
-
-Rows with equal order values are told apart by two hashes of the whole row. Exact copies stay equal;
-when a cut falls among them, as many copies as belong to each side are written from one of them.
+A split needs only the order values found at its cut ranks, not a position for every row. They are found
+in two scans of the source. The first makes a quantile sketch of the leading order column, which says
+between which two values each rank lies, give or take ``MARGIN`` of all rows. The second counts exactly how
+many rows lie below these brackets and keeps the order values of the rows inside them, a small share of the
+table, in a working table. All that follows reads this table: passes that group the candidates of a rank by
+the high bits of one order column, keep the group the rank falls into, and go on with lower bits, then with the
+next column. A pass is one aggregation of at most ``BINS`` groups per rank, so nothing is sorted and the driver
+sees counts only. The split itself is then a plain comparison of each row with the cut values: no
+shuffle, and the same answer whenever a task is run again.
+
+The sketch only decides which rows are kept. Should it ever be further off than the margin, the exact counts
+show it, and that cut is searched over the source instead.
+
+Rows with equal order values are told apart by two hashes of the whole row, kept by a third scan, of the rows
+with these values alone. Exact copies stay equal; when a cut falls among them, as many copies as belong to
+each side are written from one of them.
 """
 
 from __future__ import annotations
@@ -17,16 +24,24 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netwatch.functions.identity import row_hash
+from netwatch.session import work_dir
+from netwatch.sources.files import remove
 
-SMALLEST = -(2**63)
+SMALLEST, GREATEST = -(2**63), 2**63 - 1
 # Groups per rank that one pass counts and the driver reads. Splits are for a few ranks, not for
 # thousands of chunks: a pass makes at most this many groups for each.
 BINS = 4096
+# Size of the quantile sketch; its ranks are then off by up to 0.13 % of all rows in 99 of 100 cases. A
+# bracket reaches three times as far to both sides.
+SKETCH = 4096
+MARGIN = 0.004
+# Sketches of map tasks are merged in this many groups first, so that no task merges those of all.
+GROUPS = 64
 
 
 @dataclass
@@ -83,20 +98,23 @@ def _number(
 ) -> DataFrame:
     """Adds, as BIGINT, how many of the ranks lie at or below each row's own rank."""
     numbers = [_as_bigint(df, column) for column in order]
-    ends = [end(n) for n in numbers for end in (F.min, F.max)]
-    total, *ends = df.agg(F.count(F.lit(1)), *(e.alias(f"e{i}") for i, e in enumerate(ends))).first()
+    seen = _survey(df, numbers)
     # NULL comes first: it stands one below the smallest number.
-    floors = [max((smallest or 0) - 1, SMALLEST) for smallest in ends[::2]]
+    floors = [max((smallest or 0) - 1, SMALLEST) for smallest in seen.smallest]
     levels = [F.coalesce(n, F.lit(floor)) for n, floor in zip(numbers, floors)]
-    high = floors[0] if ends[1] is None else ends[1]
+    high = floors[0] if seen.greatest is None else seen.greatest
 
+    total = seen.total
     ranks = ranks_of(total)
     rows = _Rows(df, order[0], floors[0])
     cuts = [Cut(r, low=floors[0], high=high, size=total) for r in ranks if 0 < r < total]
-    _find(rows, levels, cuts)
-    if any(cut.inside for cut in cuts):
+    missed = _find_near(rows, levels, cuts, seen)
+    _find(rows.keys(levels), levels, missed)
+    tied = [cut for cut in cuts if cut.inside]
+    if tied:
         levels = levels + [row_hash(df, df.columns, seed) for seed in (1, 2)]
-        _find(rows, levels, [cut for cut in cuts if cut.inside])
+        with _Kept(rows.keys(levels)(tied).filter(_any_within(tied))) as kept:
+            _find(lambda _: kept, levels, tied)
 
     # Ranks at or below 0 count for every row, those from the total on for none. A cut among copies
     # counts for the rows behind all of them; the copies themselves are numbered apart.
@@ -112,6 +130,110 @@ def _number(
     return placed
 
 
+@dataclass
+class _Survey:
+    """What the first scan finds: sizes, ends, and a sketch of the leading column, None without a number in it."""
+
+    total: int
+    valued: int
+    smallest: list[int | None]
+    greatest: int | None
+    sketch: bytes | None
+
+
+def _survey(df: DataFrame, numbers: list[Column]) -> _Survey:
+    lead = numbers[0]
+    lows = [F.min(n).alias(f"low{i}") for i, n in enumerate(numbers)]
+    group = F.pmod(F.spark_partition_id(), F.lit(GROUPS))
+    partial = df.groupBy(group.alias("_group")).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count(lead).alias("valued"),
+        F.max(lead).alias("high"),
+        F.kll_sketch_agg_bigint(lead, SKETCH).alias("sketch"),
+        *lows,
+    )
+    # At most GROUPS rows are left. A sketch of no values is NULL or empty, by whether there were rows.
+    found = partial.agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("valued"), F.lit(0)).alias("valued"),
+        F.max("high").alias("high"),
+        F.kll_merge_agg_bigint(F.when(F.col("valued") > 0, F.col("sketch")), SKETCH).alias("sketch"),
+        *(F.min(f"low{i}").alias(f"low{i}") for i in range(len(numbers))),
+    ).first()
+    smallest = [found[f"low{i}"] for i in range(len(numbers))]
+    return _Survey(found.total, found.valued, smallest, found.high, found.sketch if found.valued else None)
+
+
+def _bracket(cuts: list[Cut], seen: _Survey, spark: SparkSession) -> list[Cut]:
+    """Gives the cuts closer bounds by the sketch. Brackets that meet become one, so that slots never overlap."""
+    nulls = seen.total - seen.valued
+    if seen.sketch is None:
+        return cuts
+    ends = [[(cut.rank - nulls) / seen.valued + side * MARGIN for side in (-1, 1)] for cut in cuts]
+    asked = [F.lit(min(max(end, 0.0), 1.0)) for pair in ends for end in pair]
+    sketch = spark.range(1, numPartitions=1).select(F.lit(bytearray(seen.sketch)).alias("sketch"))
+    values = sketch.select(*(F.kll_sketch_get_quantile_bigint("sketch", q).alias(f"q{i}") for i, q in enumerate(asked))).first()
+    found = []
+    for i, (cut, (low, high)) in enumerate(zip(cuts, ends)):
+        # Beyond the ends of the sketch the ends of the column hold, and the place of NULL before them.
+        found.append((values[2 * i] if low > 0 else cut.low, values[2 * i + 1] if high < 1 else cut.high))
+    joined: list[list[int]] = []
+    for low, high in sorted(found):
+        if joined and low <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], high)
+        else:
+            joined.append([low, high])
+    near = []
+    for cut, (low, _) in zip(cuts, found):
+        low, high = next(pair for pair in joined if pair[0] <= low <= pair[1])
+        near.append(Cut(cut.rank, low=low, high=high))
+    return near
+
+
+def _find_near(rows: _Rows, levels: list[Column], cuts: list[Cut], seen: _Survey) -> list[Cut]:
+    """Finds the cuts inside the brackets of the sketch; returns those that are outside them, as they came."""
+    if not cuts:
+        return []
+    near = _bracket(cuts, seen, rows.df.sparkSession)
+    brackets = sorted({(cut.low, cut.high) for cut in near})
+    lead = F.col("k0")
+    # One task's counts are added once, however often it is run: the write that carries them has no shuffle.
+    below = Observation()
+    measures = []
+    for i, (low, high) in enumerate(brackets):
+        measures += [F.count_if(lead < low).alias(f"below{i}"), F.count_if(lead.between(low, high)).alias(f"inside{i}")]
+    keys = rows.keys(levels)([]).observe(below, *measures)
+    found, missed = [], []
+    with _Kept(keys.filter(_any_within(near))) as kept:
+        counts = below.get
+        for cut, close in zip(cuts, near):
+            number = brackets.index((close.low, close.high))
+            base, size = counts[f"below{number}"], counts[f"inside{number}"]
+            if base <= cut.rank < base + size:
+                cut.base, cut.size = base, size
+                cut.narrow(close.low, close.high)
+                found.append(cut)
+            else:
+                missed.append(cut)
+        _find(lambda _: kept, levels, found)
+    return missed
+
+
+class _Kept:
+    """Keys written to a working table for as long as they are searched."""
+
+    def __init__(self, keys: DataFrame) -> None:
+        self.keys = keys
+        self.path = work_dir(keys.sparkSession, "split")
+
+    def __enter__(self) -> DataFrame:
+        self.keys.write.parquet(self.path)
+        return self.keys.sparkSession.read.schema(self.keys.schema).parquet(self.path)
+
+    def __exit__(self, *_) -> None:
+        remove(self.keys.sparkSession, self.path)
+
+
 def _sum_true(start: Column, tests: Sequence[Column]) -> Column:
     return reduce(Column.__add__, (test.cast("bigint") for test in tests), start)
 
@@ -139,6 +261,11 @@ class _Rows:
     lead: str
     floor: int
 
+    def keys(self, levels: Sequence[Column]) -> Callable[[Sequence[Cut]], DataFrame]:
+        """The order values ``k0, k1, ...`` of the rows near given cuts; of all rows without cuts."""
+        named = [level.alias(f"k{i}") for i, level in enumerate(levels)]
+        return lambda cuts: (self.near(cuts) if cuts else self.df).select(*named)
+
     def near(self, cuts: Sequence[Cut]) -> DataFrame:
         ends = {(c.values[0], c.values[0]) if c.values else (c.low, c.high) for c in cuts}
         if any(low <= self.floor for low, _ in ends):
@@ -157,16 +284,18 @@ class _Rows:
         return F.lit(number).cast(data_type)
 
 
-def _find(rows: _Rows, levels: list[Column], cuts: list[Cut]) -> None:
+def _find(keys: Callable[[Sequence[Cut]], DataFrame], levels: list[Column], cuts: list[Cut]) -> None:
     """Narrows the cuts down until each has a value for every level, or falls between two rows."""
-    named = [level.alias(f"k{i}") for i, level in enumerate(levels)]
     while True:
         open_cuts = [c for c in cuts if not c.settled(len(levels))]
+        for cut in open_cuts:
+            if cut.low is None and cut.size <= BINS:
+                cut.narrow(SMALLEST, GREATEST)
         unbounded = [c for c in open_cuts if c.low is None]
         if unbounded:
-            _bound(rows.near(unbounded).select(*named), unbounded)
+            _bound(keys(unbounded), unbounded)
         elif open_cuts:
-            _count(rows.near(open_cuts).select(*named), open_cuts)
+            _count(keys(open_cuts), open_cuts)
         else:
             return
 
@@ -183,6 +312,10 @@ def _within(cut: Cut) -> Column:
     return test
 
 
+def _any_within(cuts: Sequence[Cut]) -> Column:
+    return reduce(Column.__or__, (_within(cut) for cut in cuts))
+
+
 def _numbered(keys: DataFrame, slots: dict[tuple, Cut]) -> DataFrame:
     """Candidates only, each with the number of its slot. Slots never overlap."""
     tests = [_within(cut) for cut in slots.values()]
@@ -209,7 +342,8 @@ def _count(keys: DataFrame, cuts: list[Cut]) -> None:
     shifts = []
     for cut in slots.values():
         shift = 0
-        while (cut.high >> shift) - (cut.low >> shift) >= BINS:
+        # Few rows have few values, whatever lies between these.
+        while cut.size > BINS and (cut.high >> shift) - (cut.low >> shift) >= BINS:
             shift += 1
         shifts.append(shift)
     value = F.coalesce(

@@ -135,6 +135,15 @@ def _split(logs: DataFrame) -> DataFrame:
     return head.withColumn("part", F.lit("batch")).unionByName(tail.withColumn("part", F.lit("stream")))
 
 
+def _split_with_ties(logs: DataFrame) -> DataFrame:
+    """Sizes and ends of both parts, when all that orders the rows is their hour."""
+    rows = logs.select("event_id", F.date_trunc("hour", "event_time").alias("hour"))
+    head, tail = split.ordered_split(rows, ["hour"])
+    parts = head.withColumn("part", F.lit("batch")).unionByName(tail.withColumn("part", F.lit("stream")))
+    ends = (F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"))
+    return parts.groupBy("part").agg(F.count_distinct("event_id").alias("event_count"), *ends)
+
+
 def _chunks(logs: DataFrame) -> DataFrame:
     return split.replay_chunks(logs.select("event_id", "event_time"), ORDER)
 
@@ -428,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "formatted_time": _on_logs(_formatted_time),
     # Shaping.
     "ordered_split": _on_logs(_split),
+    "split_with_ties": _on_logs(_split_with_ties),
     "replay_chunks": _on_logs(_chunks),
     "cells": _on_logs(_cells),
     "points": _on_logs(lambda logs: _opened(_points(logs))),

@@ -256,6 +256,10 @@ SELECT DISTINCT CAST(event_time AS DATE) AS day FROM logs WHERE CAST(event_time
 SELECT event_id, event_time, bytes_transferred,
        CASE WHEN pos < CAST(floor(n * 0.75) AS BIGINT) THEN 'batch' ELSE 'stream' END AS part
 FROM ranked"""),
+    "split_with_ties": on_logs(RANKED.replace("ORDER BY event_time, event_id", "ORDER BY date_trunc('hour', event_time)") + """
+SELECT CASE WHEN pos < CAST(floor(n * 0.75) AS BIGINT) THEN 'batch' ELSE 'stream' END AS part, count(DISTINCT event_id) AS event_count,
+       min(date_trunc('hour', event_time)) AS first_hour, max(date_trunc('hour', event_time)) AS last_hour
+FROM ranked GROUP BY 1"""),
     "replay_chunks": on_logs(RANKED + """
 SELECT event_id, event_time, least(pos // (n // 4), 3) AS chunk FROM ranked"""),
     "cells": on_logs(RATED.replace("\nSELECT", "\n, rated AS (SELECT", 1) + f"""),

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from netwatch.operators import split
+from netwatch.sources.files import names_in
 from tests.helpers import logs
 
 NUMBERS = st.one_of(st.none(), st.integers(-3, 3), st.sampled_from([-(2**63) + 1, 2**63 - 1, 2**40]))
@@ -15,10 +16,14 @@ def key(row):
     return tuple((v is not None, v if v is not None else 0) for v in row[:2])
 
 
-@pytest.fixture(params=[4, 4096])
+@pytest.fixture(params=["few", "many", "missed"])
 def passes(request, monkeypatch):
-    """With few and with many groups per pass."""
-    monkeypatch.setattr(split, "BINS", request.param)
+    """With few groups per pass and wide brackets, with many and narrow ones, and with brackets that miss the ranks."""
+    if request.param == "few":
+        monkeypatch.setattr(split, "BINS", 4)
+        monkeypatch.setattr(split, "MARGIN", 0.3)
+    elif request.param == "missed":
+        monkeypatch.setattr(split, "_bracket", lambda cuts, *_: [split.Cut(c.rank, low=c.high, high=c.high) for c in cuts])
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -90,3 +95,42 @@ def test_a_cut_among_rows_whose_nulls_change_places(spark):
     head, tail = split.ordered_split(spark.createDataFrame(rows, "t int, a string, b string"), ["t"], 0.5)
     assert sorted(map(str, head.collect() + tail.collect())) == sorted(map(str, spark.createDataFrame(rows, "t int, a string, b string").collect()))
     assert head.count() == 3
+
+
+def counted_reads(df):
+    """The frame, and an accumulator of the rows that jobs read from it."""
+    read = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(count, df.schema), read
+
+
+@pytest.mark.parametrize("n", [1_000, 300_000])
+def test_the_source_is_scanned_twice_at_any_size_and_once_more_for_ties(spark, n):
+    own, read = counted_reads(spark.range(n, numPartitions=8).selectExpr("id * 7919 % 1000003 * 1000000007 AS t", "id"))
+    head, _ = split.ordered_split(own, ["t", "id"])
+    assert read.value == 2 * n
+    assert head.count() == n * 3 // 4
+    tied, read = counted_reads(spark.range(n, numPartitions=8).selectExpr("id % 3 AS t", "id"))
+    chunks = split.replay_chunks(tied, ["t"])
+    assert read.value == 3 * n
+    assert [r["count"] for r in chunks.groupBy("chunk").count().collect()] == [n // 4] * 4
+
+
+def test_kept_keys_are_few_and_removed(spark, monkeypatch):
+    sizes, paths, enter = [], [], split._Kept.__enter__
+
+    def seen(kept):
+        rows = enter(kept)
+        sizes.append(rows.count())
+        paths.append(kept.path)
+        return rows
+
+    monkeypatch.setattr(split._Kept, "__enter__", seen)
+    split.replay_chunks(spark.range(200_000).selectExpr("id * 7919 % 1000003 AS t"), ["t"])
+    assert len(sizes) == 1 and sizes[0] < 200_000 * 3 * 4 * split.MARGIN
+    assert not any(names_in(spark, path) for path in paths)
