@@ -10,10 +10,11 @@ spanning forest of its links, never all pairs, and a bucket whose nodes are all
 step. Components of the forests are those of all links.
 
 Texts with a similarity of 0.8 differ in about ten bits, too many for blocks. Where a similarity is asked for
-(``similar``), nodes are equal sets of shingles, and links are found in two passes, each checked by the exact similarity
-of the two sets. The first joins large classes early: each text has ``SAMPLES`` fingerprints of samples, the ``SAMPLED``
+(``similar``), nodes are equal sets of shingles, links are found by the fingerprints as above, and each is checked by the
+exact similarity of the two sets. Two more searches add the links that fingerprints miss, checked alike. One joins large
+classes early: each text has ``SAMPLES`` fingerprints of samples, the ``SAMPLED``
 shingles that come first in as many fixed orders, and each group of equal samples, and of equal pairs of samples, is
-joined to three of its members. The second is complete: shingles have one order, those frequent in a part of the
+joined to three of its members. The last is complete: shingles have one order, those frequent in a part of the
 texts last, and two sets of n shingles or fewer that are similar enough share one of their first
 n - ceil(similar * n) + 1. Nodes of different classes that share one meet, unless their sizes or the parities
 of their shingles in ``PARITIES`` bits show that they differ too much; neither bound ever drops a similar pair.
@@ -402,6 +403,30 @@ def unjoined(links: DataFrame, labels: DataFrame) -> DataFrame:
     return saved(links.filter("_of_a != _of_b").select("a", "b"), "unjoined")
 
 
+def block_links(fps: DataFrame, blocks: int, most: int) -> DataFrame:
+    """Links ``(a, b)`` that join all distinct fingerprints ``fp`` that differ in at most ``most`` bits."""
+    filed = fps.select("fp", F.explode(block_keys(F.col("fp"), blocks, most)).alias("key"))
+    filed = filed.select("key.choice", "key.bits", "fp").repartition("choice", "bits")
+    return bucket_links(filed.sortWithinPartitions("choice", "bits"), most).distinct()
+
+
+def fingerprint_links(marks: DataFrame, blocks: int, most: int) -> DataFrame:
+    """Links ``(a, b)`` of nodes whose fingerprints differ in at most ``most`` bits; ``marks`` has each ``fp`` of each ``node``.
+
+    The smallest node of a fingerprint stands for it, and is linked to all others that have it.
+    """
+    heads = saved(marks.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    alike = marks.join(heads, "fp").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    near = block_links(heads, blocks, most)
+    for end in ("a", "b"):
+        head = heads.select(F.col("fp").alias(end), F.col("head").alias(f"_head_{end}"))
+        near = near.join(head, end)
+    both = alike.unionByName(near.select(F.col("_head_a").alias("a"), F.col("_head_b").alias("b"))).filter("a != b")
+    found = saved(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "by-fingerprint")
+    discard(heads)
+    return found
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -413,15 +438,14 @@ def near_duplicates(
 ) -> DataFrame:
     """``id_column``, ``fp`` and ``component_id``, the smallest id of each row's class, for each row.
 
-    Without ``similar`` fingerprints link at ``most`` differing bits or fewer; with it, texts at that similarity.
+    Fingerprints link at ``most`` differing bits or fewer. With ``similar`` a link holds if the texts have that similarity,
+    and the links that fingerprints miss at that similarity are added.
     """
     if similar is not None:
-        return similar_classes(docs, id_column, text, size, similar)
+        return similar_classes(docs, id_column, text, size, similar, blocks, most)
     rows = saved(fingerprints(docs, [id_column], size, text), "fingerprints")
     nodes = saved(rows.groupBy("fp").agg(F.min(id_column).alias("first")), "nodes")
-    filed = nodes.select("fp", F.explode(block_keys(F.col("fp"), blocks, most)).alias("key"))
-    filed = filed.select("key.choice", "key.bits", "fp").repartition("choice", "bits")
-    joined = components(bucket_links(filed.sortWithinPartitions("choice", "bits"), most).distinct())
+    joined = components(block_links(nodes, blocks, most))
     classes = nodes.join(joined, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
     )
@@ -431,8 +455,10 @@ def near_duplicates(
     return rows.join(named, F.col("fp") == F.col("_fp")).select(id_column, "fp", "component_id")
 
 
-def similar_classes(docs: DataFrame, id_column: str, text: str, size: int, similar: float) -> DataFrame:
-    """As ``near_duplicates``, by the similarity of the sets of shingles."""
+def similar_classes(
+    docs: DataFrame, id_column: str, text: str, size: int, similar: float, blocks: int, most: int
+) -> DataFrame:
+    """As ``near_duplicates``, each link checked by the similarity of the sets of shingles."""
     own = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_own"))
     sets = saved(with_sets(own, ["_id"], size, "_own", similar), "fingerprints")
     alike = [F.first(name).alias(name) for name in ("n", "samples", "parity", "prefix")]
@@ -444,8 +470,12 @@ def similar_classes(docs: DataFrame, id_column: str, text: str, size: int, simil
     def checked(links: DataFrame) -> DataFrame:
         return similar_links(links, nodes, docs, id_column, text, size, similar)
 
+    marks = saved(rows.select("digest", "fp").distinct().join(nodes.select("digest", "node"), "digest").select("fp", "node"), "marks")
+    marked = fingerprint_links(marks, blocks, most)
     sampled = saved(sample_links(nodes), "links")
-    links = checked(saved(not_too_far(sampled.filter("NOT again"), nodes, similar), "near"))
+    early = marked.unionByName(sampled.filter("NOT again").select("a", "b")).distinct()
+    links = checked(saved(not_too_far(early, nodes, similar), "near"))
+    discard(marks, marked)
     # One link of each node to a smaller one joins most of a class; of the others only those that join more are kept.
     parents = saved(links.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "parents")
     labels = components(parents)
