@@ -5,7 +5,7 @@ inverted index holds, for each rank, the positions of the token pairs that the r
 taken in rising order; a merge touches the pairs to its left and right only. A word's tokens do not
 depend on the words beside it, so slices need nothing from each other: no shuffle, and a lost task
 repeats its own slice. The words of earlier slices of a task are kept, up to ``ENCODED_WORDS``; then the older half goes.
-Digests are made from what is kept for each word: its ids as text, and the bytes that its ids decode to.
+Ids and digests are made from what is kept for each word: its ids as text, and the bytes that its ids decode to.
 
 Defined results: a NULL text is an empty text and has no tokens; special tokens are ordinary text.
 """
@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Callable, Iterable
 from heapq import heapify, heappop, heappush
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import regex
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 from netwatch.llm.tasks import per_text
 
 KEPT_WORDS = 250_000
-# Words that an encoder keeps with their tokens: about 100 MB in each Python worker.
+# Words that an encoder keeps with their tokens: about 110 MB in each Python worker.
 ENCODED_WORDS = 400_000
+# Texts that an encoder splits at one time: their words, each an object, are most of what a worker holds for a moment.
+SPLIT_BYTES = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,8 +53,8 @@ def replay(words: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray | None
     text = b"".join(words)
     size = len(text)
     rank_of = ranks.get
-    end = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
+    end = array("i", range(1, size + 1))
+    before = array("i", range(-1, size - 1))
     opens = bytearray(size + 1)
     opens[size] = 1
     at = 0
@@ -59,12 +62,12 @@ def replay(words: list[bytes], ranks: dict[bytes, int], pairs: np.ndarray | None
         opens[at] = 1
         at += len(word)
     index: dict[int, list[int]] = {}
-    wanted: list[int] = [-1] * size
+    wanted = array("i", [-1]) * size
     if size > 1:
         codes = np.frombuffer(text, np.uint8).astype(np.int64)
         first = (pair_ranks(ranks) if pairs is None else pairs)[(codes[:-1] << 8) | codes[1:]]
         first[np.frombuffer(opens, np.uint8)[1:size] == 1] = -1
-        wanted[:-1] = first.tolist()
+        wanted[:-1] = array("i", first.astype(np.intc).tobytes())
         order = np.argsort(first, kind="stable")
         order = order[np.searchsorted(first[order], 0) :]
         found, starts = np.unique(first[order], return_index=True)
@@ -135,8 +138,7 @@ class Encoder:
         self.pairs = pair_ranks(self.ranks)
         self.words = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.spelled: dict[str, tuple[str, bytes]] = {}  # the ids as text, and the bytes that they decode to
+        self.known: dict[str, tuple[str, bytes]] = {}  # the ids as text, and the bytes that they decode to
 
     def split(self, texts: list[bytes | None]) -> list[list[str]]:
         """The words of each text; those that are not known yet are merged first."""
@@ -144,28 +146,30 @@ class Encoder:
         if len(self.known) > ENCODED_WORDS:
             for old in list(islice(self.known, ENCODED_WORDS // 2)):
                 del self.known[old]
-                del self.spelled[old]
-        new = set().union(*found).difference(self.known)
         open_words = []
-        for word in new:
+        for word in set().union(*found).difference(self.known):
             whole = self.ranks.get(word.encode())
             if whole is not None:
-                self.known[word] = (whole,)
+                self.known[word] = (str(whole), self.tokens[whole])
             else:
                 open_words.append(word)
-        self.known.update(zip(open_words, replay([word.encode() for word in open_words], self.ranks, self.pairs)))
-        for word in new:
-            ids = self.known[word]
-            self.spelled[word] = (",".join(map(str, ids)), self.decode(ids))
+        for word, ids in zip(open_words, replay([word.encode() for word in open_words], self.ranks, self.pairs)):
+            self.known[word] = (",".join(map(str, ids)), self.decode(ids))
         return found
 
     def encode(self, texts: list[bytes | None]) -> list[list[int]]:
-        return [list(chain.from_iterable(map(self.known.__getitem__, words))) for words in self.split(texts)]
+        named = (",".join(self.known[word][0] for word in words) for words in self.split(texts))
+        return [numbers(names).tolist() for names in named]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def numbers(names: str) -> np.ndarray:
+    """The ids of a text, from their decimal names joined by commas."""
+    return np.fromstring(names, np.int32, sep=",") if names else np.empty(0, np.int32)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
     """The kept columns and ``token_ids`` of each row's text."""
 
@@ -173,7 +177,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
         coder = Encoder(path, pattern)
         return lambda values: {"token_ids": coder.encode(values)}
 
-    return per_text(docs, keep, "token_ids array<int>", make, text)
+    return per_text(docs, keep, "token_ids array<int>", make, text, SPLIT_BYTES)
 
 
 def decode(encoded: DataFrame, path: str, keep: list[str], ids: str = "token_ids") -> DataFrame:
@@ -205,10 +209,12 @@ def round_trip(
             split = coder.split(values)
             found: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
             if with_ids:
-                found["token_ids"] = [list(chain.from_iterable(map(coder.known.__getitem__, words))) for words in split]
+                found["token_ids"] = []
             for words in split:
-                names, pieces = zip(*map(coder.spelled.__getitem__, words)) if words else ((), ())
+                names, pieces = zip(*map(coder.known.__getitem__, words)) if words else ((), ())
                 joined = ",".join(names)
+                if with_ids:
+                    found["token_ids"].append(numbers(joined))
                 found["n_tokens"].append(joined.count(",") + 1 if words else 0)
                 found["ids_sha256"].append(digest(joined.encode()))
                 found["decoded_sha256"].append(digest(b"".join(pieces)))
@@ -217,7 +223,7 @@ def round_trip(
         return work
 
     columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return per_text(docs, keep, f"token_ids array<int>, {columns}" if with_ids else columns, make, text)
+    return per_text(docs, keep, f"token_ids array<int>, {columns}" if with_ids else columns, make, text, SPLIT_BYTES)
 
 
 def digest(value: bytes) -> str:

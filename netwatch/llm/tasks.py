@@ -94,10 +94,11 @@ def per_text(
     schema: str,
     make: Callable[[], Callable[[list], dict[str, list]]],
     text: str = "text",
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """The kept columns of each row, and what a function made once per task finds in its text (bytes or None).
 
-    The function takes a list of texts and returns a list per new column of ``schema``. A kept column with
+    The function takes a list of texts, about ``limit`` bytes, and returns a list per new column of ``schema``. A kept column with
     the name of a new one is left out.
     """
     added = StructType.fromDDL(schema)
@@ -110,7 +111,7 @@ def per_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part, values in sliced(batch):
+            for part, values in sliced(batch, limit):
                 found = work(values)
                 arrays = part.columns[:-1] + [pa.array(found[f.name], to_arrow_type(f.dataType)) for f in added]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)

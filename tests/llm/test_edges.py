@@ -4,6 +4,7 @@ import base64
 import functools
 import random
 import string
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -108,6 +109,19 @@ def test_replay_with_any_merges(words, seed):
     assert bpe.replay(words, ranks) == [plain(w) for w in words]
 
 
+def test_encoder_keeps_little_of_a_word():
+    coder = bpe.Encoder(PATH, PATTERN)
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(30_000)).encode()
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    coder.split([text])
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert kept < 340 * len(coder.known)
+    assert coder.encode([text, None, b""]) == [both_coders()[0].encode_ordinary(text.decode()), [], []]
+
+
 def test_unigram(docs, empty, texts):
     ranks = bpe.read_ranks(PATH)
     scores = unigram.zipf_scores(ranks)
