@@ -1,20 +1,18 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
 A text is a sequence of tokens: its words, then one end. Words are spelled by bytes and a closing byte, bits
-from the highest down. For each bit, predictors look up what followed the same context (place in the word,
-the last 1, 2, 3 or 5 bytes, all bytes of the word so far) in tables of hashed contexts. Their log odds are
-summed with weights that a gate selects (the longest context seen before, and the bit's place), which are
-learned online, and a last table refines the sum by what came true at such sums (``Mixer``).
-
-The spelling model learns from each different word once, with the word's own counts left out, as it must
-price words that are new. What frequent words are worth is taken from exact counts, by language and over
-all, with a discount that leaves the rest to the coarser models:
-
-    P(w | l) = (max(c_l - d_l, 0) + d_l T_l (s_l P(w) + (1 - s_l) spelled(w))) / N_l
-    P(w) = (max(c - d, 0) + d T spelled(w)) / N
-
-A word seen once in a language stands for the new words of that language: d_l follows from how many words
-were seen once and twice, and s_l is the part of those seen once that other training rows hold too.
+from the highest down, and each bit of each word, known or new, is predicted by logistic mixing in two layers (``Mixer``).
+In the first, predictors look up what followed the same context (place in the word, the last 1, 2, 3 or 5 bytes)
+in tables of hashed contexts. Their log odds are summed with weights that a gate selects (the longest context seen
+before, and the bit's place), and a table refines the sum by what came true at such sums. The last layer mixes
+this with what followed the word's beginning, all of its bytes so far, in all languages and in one language; each
+leaves what a discount frees to the one before it, and its gate is how often the beginning was seen in both. So a word's
+price by language follows from bits alone, and prices of all words sum to one.
+
+Tables count every occurrence in training rows, and weights are learned online from every occurrence, which is itself left
+out of the counts meanwhile. Beginnings from ``LOCAL`` bytes on are counted exactly, without hashed slots, however many
+there are: words are dealt to buckets by their first ``LOCAL`` bytes, so all words with such a beginning are in one. Contexts end
+where a word begins; beyond it a token depends on its language and the tokens of its text.
 Last, the text itself is a context. With a weight that grows to ``RECENT_MOST`` as its tokens go by, a token has
 the share that it had among the tokens before it.
 
@@ -22,9 +20,9 @@ The text's probability is the sum over languages of share times product. Languag
 training rows; a scored row gives nothing but its text.
 
 How it runs: a task cuts its rows into batches of about ``BATCH_BYTES`` and counts each batch's words once;
-words are dealt to buckets by their hash, so many buckets as there are batches. Buckets sum the counts of
-all batches, answer each batch with counts and spelling of its words, and batches price their texts with the
-answers. No row per token is made. Tables have a fixed size, ``TABLE_BITS``; they and the weights are all that goes to every task.
+words are dealt to buckets, so many as there are batches. Buckets sum the counts of
+all batches, answer each batch with counts and prices of its words, and batches price their texts with the
+answers. No row per token is made. Tables have a fixed size, ``TABLE_BITS`` and ``SHORT_BITS``; they and the weights are all that goes to every task.
 
 Defined results: NULL texts are empty and have the end only. Without training rows nothing is known, the
 base is 0 per token, and words that are new to their text are worth one half per bit. NULL languages are one language more. Equal
@@ -51,24 +49,30 @@ from netwatch.llm.repeats import BASE, INVERSE, powers
 from netwatch.llm.tasks import saved, sliced, texts
 
 BATCH_BYTES = 16 << 20
-# Slots of each predictor, as powers of two: place, last 1, 2, 3, 5 bytes, all bytes.
-TABLE_BITS = (12, 16, 18, 19, 20, 20)
-PIECE_BITS = 16
-CLOSE = 0x20
+# Slots of each hashed predictor, as powers of two: place, last 1, 2, 3, 5 bytes.
+TABLE_BITS = (12, 16, 18, 19, 20)
+# Words are dealt by so many first bytes, so that longer beginnings are counted exactly in one bucket.
+LOCAL = 4
+# Slots of shorter beginnings, as a power of two, all languages together.
+SHORT_BITS = 21
+PIECE_BITS = 17
 DISCOUNT = 0.75
 PRIOR = 0.4
 # The greatest weight of the tokens before in a text, and how many of them give half of it.
 RECENT_MOST, RECENT_HALF = 0.05, 20
 TOKENS_AT_ONCE = 65_536
-RATE, RATE_FLOOR = 0.02, 0.002
+RATE = 0.02
 LEVELS = 24
-WORDS_AT_ONCE = 4_096
-# Most languages with counts of their own; more share the last one.
+# Levels of how often a beginning was seen.
+OFTEN = 8
+WORDS_AT_ONCE, BYTES_AT_ONCE = 4_096, 1 << 16
+# Most languages with prices of their own; more share the last one.
 MOST_LANGS = 64
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 INPUTS = len(TABLE_BITS) + 1
 GATES = (len(TABLE_BITS) + 1) * 8
+LAST_GATES, LAST_INPUTS = OFTEN * OFTEN * 8, 3
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -76,10 +80,13 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Spelling(NamedTuple):
-    """Words laid out as bytes: a hash per predictor and byte, the byte itself, and where words begin."""
+    """Words laid out as bytes: a hash per predictor and byte, that of the beginning, the byte itself, its place and word."""
 
     contexts: list[np.ndarray]
+    prefix: np.ndarray
     codes: np.ndarray
+    depth: np.ndarray
+    of: np.ndarray
     starts: np.ndarray
 
 
@@ -100,57 +107,107 @@ def spelling(words: list[bytes]) -> Spelling:
         last = last * np.uint64(257) + np.where(depth >= n, back + np.uint64(1), 0).astype(np.uint64)
         suffixes[n] = last
     place = np.minimum(depth, 15).astype(np.uint64)
-    contexts = [place, suffixes[1], suffixes[2], suffixes[3], suffixes[5], prefix]
-    return Spelling([(c + np.uint64(i + 1)) * MIX for i, c in enumerate(contexts)], codes, starts)
+    contexts = [place, suffixes[1], suffixes[2], suffixes[3], suffixes[5]]
+    hashed = [(c + np.uint64(i + 1)) * MIX for i, c in enumerate(contexts)]
+    beginning = (prefix ^ (depth.astype(np.uint64) << np.uint64(48))) * MIX
+    return Spelling(hashed, beginning, codes, depth, np.repeat(np.arange(len(words)), lengths), starts)
 
 
-def slots(spelled: Spelling, bit: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The slot of each predictor at a bit of every byte, and the bit."""
-    part = (np.uint64(0x100) | spelled.codes) >> np.uint64(8 - bit)
+def slots(spelled: Spelling, bit: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The slot of each hashed predictor at a bit of every byte, the hash of beginning and bits, and the bit."""
+    part = ((np.uint64(0x100) | spelled.codes) >> np.uint64(8 - bit)) * np.uint64(0xBF58476D1CE4E5B9)
     value = ((spelled.codes >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
-    found = []
-    for context, size in zip(spelled.contexts, TABLE_BITS):
-        mixed = (context ^ (context >> np.uint64(29))) + part * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * MIX
-        found.append((mixed >> np.uint64(64 - size)).astype(np.int64))
-    return found, value
+
+    def mixed(context: np.ndarray) -> np.ndarray:
+        out = (context ^ (context >> np.uint64(29))) + part
+        return (out ^ (out >> np.uint64(32))) * MIX
+
+    found = [(mixed(c) >> np.uint64(64 - size)).astype(np.int64) for c, size in zip(spelled.contexts, TABLE_BITS)]
+    return found, mixed(spelled.prefix), value
 
 
 class Tables:
-    """How often a 0 and a 1 followed each slot."""
+    """How often a 0 and a 1 followed each slot: of hashed contexts, and of short beginnings by language."""
 
-    def __init__(self) -> None:
+    def __init__(self, width: int) -> None:
+        self.width, self.short_bits = width, SHORT_BITS - (width - 1).bit_length()
         self.counts = [np.zeros((1 << size, 2), np.float32) for size in TABLE_BITS]
+        self.counts.append(np.zeros((width << self.short_bits, 2), np.float32))
 
-    def learn(self, words: list[bytes]) -> None:
+    def short(self, key: np.ndarray, lang: int) -> np.ndarray:
+        return (key >> np.uint64(64 - self.short_bits)).astype(np.int64) * self.width + lang
+
+    def learn(self, words: list[bytes], counts: np.ndarray) -> None:
+        """Each word as often as it occurs in training rows."""
         spelled = spelling(words)
+        each = counts[spelled.of].astype(np.float32)
+        times = each.sum(axis=1)
+        begins = spelled.depth < LOCAL
         for bit in range(8):
-            found, value = slots(spelled, bit)
+            found, key, value = slots(spelled, bit)
             for table, slot in zip(self.counts, found):
-                np.add.at(table.reshape(-1), 2 * slot + value, np.float32(1))
+                np.add.at(table.reshape(-1), 2 * slot + value, times)
+            for lang in range(self.width):
+                here = np.flatnonzero(begins & (each[:, lang] > 0))
+                np.add.at(self.counts[-1].reshape(-1), 2 * self.short(key[here], lang) + value[here], each[here, lang])
+
+    def beginnings(self, spelled: Spelling, key: np.ndarray, value: np.ndarray, each: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """By language, how often a 0 and a 1 followed each byte's beginning. Words of one first ``LOCAL`` bytes come together."""
+        names, at = np.unique(key, return_inverse=True)
+        begins = np.flatnonzero(spelled.depth < LOCAL)
+        at_bit = 2 * at + value
+        for lang in range(self.width):
+            local = np.bincount(at_bit, each[:, lang], 2 * len(names)).reshape(-1, 2)[at]
+            local[begins] = self.counts[-1][self.short(key[begins], lang)]
+            yield local[:, 0], local[:, 1]
 
     def pieces(self) -> Iterator[tuple[int, int, bytes]]:
         packer = zstandard.ZstdCompressor(1)
         for number, table in enumerate(self.counts):
-            for at in range(0, len(table), 1 << PIECE_BITS):
-                if (part := table[at : at + (1 << PIECE_BITS)]).any():
+            flat = table.reshape(-1)
+            for at in range(0, len(flat), 1 << PIECE_BITS):
+                if (part := flat[at : at + (1 << PIECE_BITS)]).any():
                     yield number, at, packer.compress(part.tobytes())
 
     def put(self, number: int, at: int, packed: bytes) -> None:
-        part = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.float32).reshape(-1, 2)
-        self.counts[number][at : at + len(part)] += part
+        part = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.float32)
+        self.counts[number].reshape(-1)[at : at + len(part)] += part
+
+
+def often(n: np.ndarray) -> np.ndarray:
+    return np.minimum(np.frexp(n)[1], OFTEN - 1)
+
+
+def backed_off(zeros: np.ndarray, ones: np.ndarray, coarser: np.ndarray) -> np.ndarray:
+    """The probability of a 1, what a discount frees being left to a coarser one."""
+    n = zeros + ones
+    freed = DISCOUNT * ((zeros > 0) * 1.0 + (ones > 0))
+    return np.where(n > 0, (np.maximum(ones - DISCOUNT, 0) + freed * coarser) / np.maximum(n, 1), coarser)
+
+
+def stretched(p: np.ndarray) -> np.ndarray:
+    return np.log(p / (1 - p))
 
 
 class Mixer:
-    """Weights by gate, and the refining table by gate and level of the log odds."""
+    """Weights by gate, in two layers, and the refining table by gate and level of the log odds.
+
+    The first layer mixes the hashed contexts; its gate is the longest one seen. The last layer mixes its result with what
+    followed the beginning in all languages and in one; its gate is how often these were seen.
+    """
 
     def __init__(self) -> None:
         self.weights = np.full((GATES, INPUTS), 0.3)
+        self.weights[:, -1] = 0
+        self.last = np.zeros((OFTEN, OFTEN, 8, LAST_INPUTS))
+        self.last[0, ..., 1] = 1
+        self.last[1:, ..., 2] = 1
+        self.last = self.last.reshape(LAST_GATES, LAST_INPUTS)
         self.seen = np.zeros((GATES, LEVELS, 2))
+        self.steps, self.last_steps = np.full(self.weights.shape, 1e-8), np.full(self.last.shape, 1e-8)
 
-    def odds(self, tables: Tables, spelled: Spelling, bit: int, leave_out: bool):
-        """Log odds that the predictors and the weights give, the gate, and the bit."""
-        found, value = slots(spelled, bit)
+    def odds(self, tables: Tables, found: list[np.ndarray], value: np.ndarray, bit: int, leave_out: bool):
+        """Inputs, log odds and gate of the first layer. One occurrence of the word itself can be left out."""
         inputs = np.empty((INPUTS, len(value)), np.float32)
         inputs[-1] = 0.3
         longest = np.zeros(len(value), np.int64)
@@ -161,38 +218,84 @@ class Mixer:
             inputs[number] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
             longest[(zeros + ones) > 0] = number + 1
         gate = longest * 8 + bit
-        return inputs, np.einsum("ij,ji->i", inputs.T, self.weights[gate].T.astype(np.float32)), gate, value
-
-    def learn(self, tables: Tables, words: list[bytes], rate: float) -> None:
-        """One step per bit over a block of words, with their own counts left out."""
-        spelled = spelling(words)
+        return inputs, np.einsum("ij,ji->i", inputs.T, self.weights[gate].T.astype(np.float32)), gate
+
+    def refined(self) -> tuple[np.ndarray, np.ndarray]:
+        total = self.seen.sum(axis=2)
+        return (self.seen[:, :, 1] + PRIOR) / (total + 2 * PRIOR), total > 100
+
+    def first(self, odds: np.ndarray, gate: np.ndarray, refined: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        p, at = squashed(odds), level(odds)
+        p = np.where(refined[1][gate, at], (p + refined[0][gate, at]) / 2, p)
+        return np.clip(p, 1e-5, 1 - 1e-5)
+
+    def final(self, first: np.ndarray, both: np.ndarray, lang: np.ndarray, n_lang: np.ndarray, n_all: np.ndarray, bit: int):
+        """Inputs, probability and gate of the last layer."""
+        inputs = np.array([stretched(np.clip(p, 1e-7, 1 - 1e-7)) for p in (first, both, lang)])
+        gate = (often(n_lang) * OFTEN + often(n_all)) * 8 + bit
+        return inputs, np.clip(squashed((inputs.T * self.last[gate]).sum(axis=1)), 1e-7, 1 - 1e-7), gate
+
+    def learn(self, tables: Tables, words: list[bytes], counts: np.ndarray) -> None:
+        """One step per bit over a block of words, each as often as it occurs, the occurrence itself left out."""
+        spelled, refined = spelling(words), self.refined()
+        each = counts[spelled.of].astype(np.float64)
+        times = each.sum(axis=1)
         for bit in range(8):
-            inputs, odds, gate, value = self.odds(tables, spelled, bit, leave_out=True)
-            error = value - squashed(odds)
-            np.add.at(self.seen, (gate, level(odds), value), 1)
-            for one in np.unique(gate):
-                here = gate == one
-                self.weights[one] += rate * (inputs[:, here] @ error[here]) / max(1.0, math.sqrt(here.sum()))
-
-    def log10(self, tables: Tables, words: list[bytes]) -> np.ndarray:
-        """log10 of the probability of each word's spelling."""
-        out = [np.empty(0)]
-        refined = (self.seen[:, :, 1] + PRIOR) / (self.seen.sum(axis=2) + 2 * PRIOR)
-        trusted = self.seen.sum(axis=2) > 100
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            spelled = spelling(words[at : at + WORDS_AT_ONCE])
-            total = np.zeros(len(spelled.codes))
+            found, key, value = slots(spelled, bit)
+            inputs, odds, gate = self.odds(tables, found, value, bit, leave_out=True)
+            first = self.first(odds, gate, refined)
+            followed = list(tables.beginnings(spelled, key, value, each))
+            zeros = np.maximum(sum(z for z, _ in followed) - (1 - value), 0)
+            ones = np.maximum(sum(o for _, o in followed) - value, 0)
+            both = backed_off(zeros, ones, first)
+            for lang, (own_zeros, own_ones) in enumerate(followed):
+                here = np.flatnonzero(each[:, lang])
+                if not len(here):
+                    continue
+                own_zeros, own_ones = np.maximum(own_zeros[here] - (1 - value[here]), 0), np.maximum(own_ones[here] - value[here], 0)
+                of_lang = backed_off(own_zeros, own_ones, both[here])
+                seen = own_zeros + own_ones, (zeros + ones)[here]
+                last, p, at = self.final(first[here], both[here], of_lang, *seen, bit)
+                step(self.last, self.last_steps, last, (value[here] - p), each[here, lang], at)
+            self.seen += np.bincount((gate * LEVELS + level(odds)) * 2 + value, times, self.seen.size).reshape(self.seen.shape)
+            step(self.weights, self.steps, inputs, value - squashed(odds), times, gate)
+
+    def log10(self, tables: Tables, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each word by language; ``counts`` of the words in training rows."""
+        out, refined = [np.empty((0, tables.width))], self.refined()
+        for part in blocks(words):
+            spelled = spelling(words[part])
+            each = counts[part][spelled.of].astype(np.float64)
+            total = np.zeros((tables.width, len(spelled.codes)))
             for bit in range(8):
-                _, odds, gate, value = self.odds(tables, spelled, bit, leave_out=False)
-                p = squashed(odds)
-                at_level = level(odds)
-                p = np.where(trusted[gate, at_level], (p + refined[gate, at_level]) / 2, p)
-                p = np.clip(p, 1e-5, 1 - 1e-5)
-                total += np.log10(np.where(value, p, 1 - p))
-            out.append(np.add.reduceat(total, spelled.starts))
+                found, key, value = slots(spelled, bit)
+                _, odds, gate = self.odds(tables, found, value, bit, leave_out=False)
+                first = self.first(odds, gate, refined)
+                followed = list(tables.beginnings(spelled, key, value, each))
+                zeros, ones = sum(z for z, _ in followed), sum(o for _, o in followed)
+                both = backed_off(zeros, ones, first)
+                _, p, _ = self.final(first, both, both, 0 * zeros, zeros + ones, bit)
+                unseen = np.log10(np.where(value, p, 1 - p))
+                for lang, (own_zeros, own_ones) in enumerate(followed):
+                    here = np.flatnonzero(own_zeros + own_ones)
+                    own = own_zeros[here], own_ones[here]
+                    _, p, _ = self.final(first[here], both[here], backed_off(*own, both[here]), sum(own), (zeros + ones)[here], bit)
+                    logs = unseen.copy()
+                    logs[here] = np.log10(np.where(value[here], p, 1 - p))
+                    total[lang] += logs
+            out.append(np.add.reduceat(total, spelled.starts, axis=1).T)
         return np.concatenate(out)
 
 
+def step(weights: np.ndarray, steps: np.ndarray, inputs: np.ndarray, error: np.ndarray, times: np.ndarray, gate: np.ndarray) -> None:
+    """One step of each gate's weights along the mean gradient, the shorter the more steps were made."""
+    total = np.maximum(np.bincount(gate, times, len(weights)), 1)
+    for i, values in enumerate(inputs):
+        slope = np.bincount(gate, values * error * times, len(weights)) / total
+        steps[:, i] += slope**2
+        weights[:, i] += RATE * slope / np.sqrt(steps[:, i])
+
+
 def squashed(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -20, 20).astype(np.float64)))
 
@@ -257,7 +360,7 @@ def counted(docs: DataFrame, held: Column, lang: str | None, langs: list, bucket
         for place, counter in counters.items():
             if place >= 0:
                 table[:, place] = np.fromiter(map(counter.__getitem__, words), np.int64, len(words))
-        bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
+        bucket = np.fromiter((xxhash.xxh32_intdigest(w[:LOCAL]) % buckets for w in words), np.int64, len(words))
         rows: list[tuple] = []
         for one in np.unique(bucket).tolist():
             mine = np.flatnonzero(bucket == one)
@@ -290,37 +393,46 @@ def merged(rows: pd.DataFrame) -> pd.DataFrame:
         table[at] += counts
     words = sorted(places)
     table = table[np.fromiter(map(places.__getitem__, words), np.int64, len(words))]
-    once, all_of = table == 1, table.sum(axis=1)
     return pd.DataFrame(
         {"bucket": [rows["bucket"].iloc[0]], "words": [packed_words(words)], "counts": [packed_array(table)], "langs": [width],
-         "tokens": [table.sum(axis=0).tolist()], "types": [(table > 0).sum(axis=0).tolist()],
-         "once": [once.sum(axis=0).tolist()], "twice": [(table == 2).sum(axis=0).tolist()],
-         "shared": [(once & (all_of > 1)[:, None]).sum(axis=0).tolist()], "all_types": [int((all_of > 0).sum())]}
+         "tokens": [int(table.sum())], "types": [int((table.sum(axis=1) > 0).sum())]}
     )
 
 
-BY_LANG = ("tokens", "types", "once", "twice", "shared")
-VOCABULARY = f"bucket int, words binary, counts binary, langs int, {', '.join(f'{n} array<long>' for n in BY_LANG)}, all_types long"
+VOCABULARY = "bucket int, words binary, counts binary, langs int, tokens long, types long"
+
+
+def blocks(words: list[bytes]) -> Iterator[slice]:
+    """Runs of sorted words, those with the same first ``LOCAL`` bytes together, of ``WORDS_AT_ONCE`` or ``BYTES_AT_ONCE`` and more."""
+    start, size = 0, 0
+    for at, word in enumerate(words):
+        if (at - start >= WORDS_AT_ONCE or size >= BYTES_AT_ONCE) and word[:LOCAL] != words[at - 1][:LOCAL]:
+            yield slice(start, at)
+            start, size = at, 0
+        size += len(word) + 1
+    if start < len(words):
+        yield slice(start, len(words))
 
 
-def blocks(packed: bytes, counts: bytes, width: int) -> Iterator[list[bytes]]:
-    """The words of a bucket that occur in training rows."""
+def known_blocks(packed: bytes, counts: bytes, width: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The words of a bucket that occur in training rows, and how often by language."""
     words = unpacked_words(packed)
-    known = np.frombuffer(unpacked(counts), np.int64).reshape(-1, width).sum(axis=1) > 0
-    held = [word for word, ok in zip(words, known.tolist()) if ok]
-    for at in range(0, len(held), WORDS_AT_ONCE):
-        yield held[at : at + WORDS_AT_ONCE]
+    table = np.frombuffer(unpacked(counts), np.int64).reshape(-1, width)
+    known = np.flatnonzero(table.any(axis=1))
+    held, table = [words[i] for i in known.tolist()], table[known]
+    for part in blocks(held):
+        yield held[part], table[part]
 
 
-def learned_tables(vocabulary: DataFrame) -> Tables:
-    """The tables of all words: each task's own are cut into pieces, which are summed piece by piece."""
+def learned_tables(vocabulary: DataFrame, width: int) -> Tables:
+    """The tables of all occurrences of all words: each task's own are cut into pieces, which are summed piece by piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables()
+        tables = Tables(width)
         for batch in batches:
-            for words, counts, width in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for block in blocks(words, counts, width):
-                    tables.learn(block)
+            for words, counts in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                for block, often_each in known_blocks(words, counts, width):
+                    tables.learn(block, often_each)
         for number, at, packed in tables.pieces():
             yield pa.RecordBatch.from_pydict(
                 {"number": pa.array([number], pa.int32()), "at": pa.array([at], pa.int32()), "packed": pa.array([packed], pa.binary())}
@@ -331,9 +443,9 @@ def learned_tables(vocabulary: DataFrame) -> Tables:
         return rows.head(1).assign(packed=[packed_array(total.astype(np.float32))])
 
     schema = "number int, at int, packed binary"
-    pieces = vocabulary.select("words", "counts", "langs").mapInArrow(run, schema)
-    tables = Tables()
-    for row in pieces.groupBy("number", "at").applyInPandas(summed, schema).collect():  # TABLE_BITS bounds it
+    pieces = vocabulary.select("words", "counts").mapInArrow(run, schema)
+    tables = Tables(width)
+    for row in pieces.groupBy("number", "at").applyInPandas(summed, schema).collect():  # TABLE_BITS and SHORT_BITS bound it
         tables.put(row.number, row.at, row.packed)
     return tables
 
@@ -343,69 +455,40 @@ def spread_over(vocabulary: DataFrame) -> int:
     return max(1, min(vocabulary.count(), 2 * vocabulary.sparkSession.sparkContext.defaultParallelism))
 
 
-def learned_mixer(vocabulary: DataFrame, tables) -> Mixer:
-    """Each task learns online over its words; weights are averaged by the number of words, sightings summed."""
+def learned_mixer(vocabulary: DataFrame, tables, width: int) -> Mixer:
+    """Each task learns online over the occurrences of its words; weights are averaged by the number of words, sightings summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, steps, words_seen = Mixer(), 0, 0
+        mixer, words_seen = Mixer(), 0
         for batch in batches:
-            for words, counts, width in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                for block in blocks(words, counts, width):
-                    mixer.learn(tables.value, block, max(RATE_FLOOR, RATE / math.sqrt(1 + steps)))
-                    steps += 1
+            for words, counts in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                for block, often_each in known_blocks(words, counts, width):
+                    mixer.learn(tables.value, block, often_each)
                     words_seen += len(block)
         if words_seen:
             yield pa.RecordBatch.from_pydict(
-                {"n": pa.array([float(words_seen)]), "weights": pa.array([mixer.weights.ravel().tolist()]),
+                {"n": pa.array([float(words_seen)]), "weights": pa.array([np.concatenate([mixer.weights.ravel(), mixer.last.ravel()]).tolist()]),
                  "seen": pa.array([mixer.seen.ravel().tolist()])}
             )
 
-    spread = vocabulary.select("words", "counts", "langs").repartition(spread_over(vocabulary))
+    spread = vocabulary.select("words", "counts").repartition(spread_over(vocabulary))
     # Written, as two sums read it: the learning itself runs once.
     rows = saved(spread.mapInArrow(run, "n double, weights array<double>, seen array<double>"), "mixers")
     parts = rows.select("n", F.posexplode("weights").alias("at", "w")).groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w"))
     sightings = rows.select(F.posexplode("seen").alias("at", "s")).groupBy("at").agg(F.sum("s").alias("s"))
     both = saved(parts.select("at", "w", F.lit(None).cast("double").alias("s")).unionByName(sightings.select("at", F.lit(None).cast("double").alias("w"), "s")), "weights")
     mixer = Mixer()
-    for row in both.collect():  # GATES times INPUTS and LEVELS numbers
+    for row in both.collect():  # as many numbers as the two layers have weights, and GATES times LEVELS
         if row.w is not None:
-            mixer.weights.reshape(-1)[row.at] = row.w
+            layer, at = (mixer.weights, row.at) if row.at < mixer.weights.size else (mixer.last, row.at - mixer.weights.size)
+            layer.reshape(-1)[at] = row.w
         else:
             mixer.seen.reshape(-1)[row.at] = row.s
     return mixer
 
 
-class Totals(NamedTuple):
-    """Numbers of the training rows, by language and over all."""
-
-    tokens: np.ndarray
-    types: np.ndarray
-    once: np.ndarray
-    twice: np.ndarray
-    shared: np.ndarray
-    all_tokens: int
-    all_types: int
-    share: np.ndarray
-
-
-def prices(counts: np.ndarray, spelled: np.ndarray, totals: Totals) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word: log10 of the base, its probability by language, and whether it is known."""
-    all_of = counts.sum(axis=1)
-    base = np.log10((all_of + 0.1) / (totals.all_tokens + 0.1 * (totals.all_types + 1)))
-    new = np.maximum(10.0**spelled, 1e-300)
-    own = new
-    if totals.all_tokens:
-        own = (np.maximum(all_of - DISCOUNT, 0) + DISCOUNT * totals.all_types * new) / totals.all_tokens
-    by_lang = np.repeat(own[:, None], counts.shape[1], axis=1)
-    used = totals.tokens > 0
-    once = totals.once[used]
-    discount = (once + 1) / (once + 2 * totals.twice[used] + 2)
-    shared = (totals.shared[used] + 0.5) / (once + 1)
-    coarser = shared * own[:, None] + (1 - shared) * new[:, None]
-    by_lang[:, used] = (
-        np.maximum(counts[:, used] - discount, 0) + discount * totals.types[used] * coarser
-    ) / totals.tokens[used]
-    return base, np.maximum(by_lang, 1e-300), all_of > 0
+def base_log10(times: np.ndarray, all_tokens: int, all_types: int) -> np.ndarray:
+    return np.log10((times + 0.1) / (all_tokens + 0.1 * (all_types + 1)))
 
 
 def earlier(at: np.ndarray) -> np.ndarray:
@@ -472,48 +555,46 @@ def score_texts(
     rows = saved(counted(docs, held, lang, langs, 1 + size // BATCH_BYTES, id_column, text), "counted")
     words = rows.filter("bucket IS NOT NULL").select("batch", "bucket", "words", "counts", "langs")
     vocabulary = saved(words.groupBy("bucket").applyInPandas(merged, VOCABULARY), "vocabulary")
-    by_lang = vocabulary.select(F.posexplode(F.arrays_zip(*BY_LANG)).alias("at", "n"))
-    sums = by_lang.groupBy("at").agg(*(F.sum(f"n.{name}") for name in BY_LANG)).orderBy("at").collect()
+    sums = vocabulary.agg(F.sum("tokens"), F.sum("types")).first()
+    all_tokens, all_types = sums[0] or 0, sums[1] or 0
     width = max(1, min(len(langs), MOST_LANGS))
-    numbers = [np.array([row[i] for row in sums] or [0] * width, np.int64) for i in range(1, len(BY_LANG) + 1)]
-    all_types = vocabulary.agg(F.sum("all_types")).first()[0] or 0
     share = np.ones(width)
     share[: len(common)] += [row[1] for row in common]
     share[-1] += train.count() - sum(row[1] for row in common)
-    totals = Totals(*numbers, int(numbers[0].sum()), int(all_types), share / share.sum())
-    tables = spark.sparkContext.broadcast(learned_tables(vocabulary))
-    mixer = learned_mixer(vocabulary, tables)
+    share /= share.sum()
+    tables = spark.sparkContext.broadcast(learned_tables(vocabulary, width))
+    mixer = learned_mixer(vocabulary, tables, width)
 
     def answered(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         if not len(asked):
-            return pd.DataFrame({"batch": [], "words": [], "counts": [], "spelled": []})
-        width = int(known["langs"].iloc[0])
+            return pd.DataFrame({"batch": [], "words": [], "times": [], "prices": []})
         words = unpacked_words(known["words"].iloc[0])
         counts = np.frombuffer(unpacked(known["counts"].iloc[0]), np.int64).reshape(-1, width)
-        spelled = mixer.log10(tables.value, words).astype(np.float32)
+        times, prices = counts.sum(axis=1), mixer.log10(tables.value, words, counts).astype(np.float32)
         places = {word: i for i, word in enumerate(words)}
         out = []
         for packed in asked["words"]:
             own = unpacked_words(packed)
             at = np.fromiter(map(places.__getitem__, own), np.int64, len(own))
-            out.append((packed_array(counts[at]), packed_array(spelled[at])))
+            out.append((packed_array(times[at]), packed_array(prices[at])))
         return pd.DataFrame(
-            {"batch": asked["batch"], "words": asked["words"], "counts": [c for c, _ in out], "spelled": [s for _, s in out]}
+            {"batch": asked["batch"], "words": asked["words"], "times": [t for t, _ in out], "prices": [p for _, p in out]}
         )
 
     answers = words.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInPandas(
-        answered, "batch long, words binary, counts binary, spelled binary"
+        answered, "batch long, words binary, times binary, prices binary"
     )
 
     def scored(batch: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         places: dict[bytes, int] = {}
         tables_of = []
-        for packed, counts, spelled in zip(told["words"], told["counts"], told["spelled"]):
+        for packed, times, prices in zip(told["words"], told["times"], told["prices"]):
             for word in unpacked_words(packed):
                 places[word] = len(places)
-            counts = np.frombuffer(unpacked(counts), np.int64).reshape(-1, width)
-            tables_of.append(prices(counts, np.frombuffer(unpacked(spelled), np.float32).astype(np.float64), totals))
-        base, by_lang, known = (np.concatenate(parts) for parts in zip(*tables_of))
+            logs = np.frombuffer(unpacked(prices), np.float32).reshape(-1, width).astype(np.float64)
+            tables_of.append((np.frombuffer(unpacked(times), np.int64), np.maximum(10.0**logs, 1e-300)))
+        times, by_lang = (np.concatenate(parts) for parts in zip(*tables_of))
+        base, known = base_log10(times, all_tokens, all_types), times > 0
         found = []
 
         def placed() -> Iterator[np.ndarray]:
@@ -522,10 +603,10 @@ def score_texts(
                 tokens = words_of(text)
                 tokens.append(b"")
                 at = np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens))
-                found.append((held_out, len(tokens), int(known[at].sum()), totals.all_tokens, float(base[at].sum()), len(text)))
+                found.append((held_out, len(tokens), int(known[at].sum()), all_tokens, float(base[at].sum()), len(text)))
                 yield at
 
-        scores = [score for block in in_blocks(placed()) for score in texts_log10(block, by_lang, totals.share).tolist()]
+        scores = [score for block in in_blocks(placed()) for score in texts_log10(block, by_lang, share).tolist()]
         found = [
             (*row[:-1], score, row[-1], -score / math.log10(2) / row[-1] if row[-1] else None) for row, score in zip(found, scores)
         ]

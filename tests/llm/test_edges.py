@@ -177,6 +177,33 @@ def test_lm_scores(docs, empty, texts):
     assert {r.n_known for r in untrained} == {0}
 
 
+def test_the_mixer_prices_every_word_by_its_occurrences(monkeypatch):
+    """Frequent, rare and new words alike, in two languages: near their shares, and no more than one in all."""
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choices("abcdef", k=rng.randint(3, 8))).encode() for _ in range(900)} | {b""})
+    counts = np.array([[rng.choice((0, 0, 1, 2, 400)), rng.choice((0, 1, 30))] for _ in words])
+    known = np.flatnonzero(counts.any(axis=1))
+    monkeypatch.setattr(mixing, "WORDS_AT_ONCE", 50)
+    tables, mixer = mixing.Tables(2), mixing.Mixer()
+    held, often = [words[i] for i in known], counts[known]
+    parts = list(mixing.blocks(held))
+    assert len(parts) > 5 and [i for part in parts for i in range(part.start, part.stop)] == list(range(len(held)))
+    for part in parts:
+        tables.learn(held[part], often[part])
+    bits = 8 * sum((len(w) + 1) * n for w, n in zip(held, often.sum(axis=1).tolist()))
+    assert [table.sum() for table in tables.counts[:-1]] == [bits] * len(mixing.TABLE_BITS)
+    for part in parts:
+        mixer.learn(tables, held[part], often[part])
+    p = 10.0 ** mixer.log10(tables, words, counts)
+    assert p.shape == counts.shape and (p > 0).all()
+    assert (p.sum(axis=0) < 1).all() and (p.sum(axis=0) > 0.9).all()
+    frequent = counts >= 30
+    ratio = (p * counts.sum(axis=0) / np.maximum(counts, 1))[frequent]
+    assert 0.9 < np.median(ratio) < 1.1 and ratio.min() > 0.3 and ratio.max() < 2
+    new = [b"abcabcabca", b"\xff\x00\xfe", b"abz"]
+    assert (mixer.log10(tables, new, np.zeros((3, 2), np.int64)) < np.log10(p[frequent].min())).all()
+
+
 def test_text_as_context(monkeypatch):
     rng = np.random.default_rng(1)
     own = [rng.integers(0, 6, n) for n in (1, 9, 50, 2, 2, 11)]
