@@ -63,6 +63,8 @@ RECENT_MOST, RECENT_HALF = 0.05, 20
 TOKENS_AT_ONCE = 65_536
 RATE = 0.02
 LEVELS = 24
+# The least probability of a bit.
+LEAST = np.float32(1e-6)
 # Levels of how often a beginning was seen.
 OFTEN = 8
 WORDS_AT_ONCE, BYTES_AT_ONCE = 4_096, 1 << 16
@@ -140,16 +142,16 @@ class Tables:
     def learn(self, words: list[bytes], counts: np.ndarray) -> None:
         """Each word as often as it occurs in training rows."""
         spelled = spelling(words)
-        each = counts[spelled.of].astype(np.float32)
-        times = each.sum(axis=1)
+        each = counts.T.astype(np.float32)[:, spelled.of]
+        times = each.sum(axis=0)
         begins = spelled.depth < LOCAL
         for bit in range(8):
             found, key, value = slots(spelled, bit)
             for table, slot in zip(self.counts, found):
                 np.add.at(table.reshape(-1), 2 * slot + value, times)
             for lang in range(self.width):
-                here = np.flatnonzero(begins & (each[:, lang] > 0))
-                np.add.at(self.counts[-1].reshape(-1), 2 * self.short(key[here], lang) + value[here], each[here, lang])
+                here = np.flatnonzero(begins & (each[lang] > 0))
+                np.add.at(self.counts[-1].reshape(-1), 2 * self.short(key[here], lang) + value[here], each[lang, here])
 
     def beginnings(self, spelled: Spelling, key: np.ndarray, value: np.ndarray, each: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """By language, how often a 0 and a 1 followed each byte's beginning. Words of one first ``LOCAL`` bytes come together."""
@@ -157,9 +159,14 @@ class Tables:
         begins = np.flatnonzero(spelled.depth < LOCAL)
         at_bit = 2 * at + value
         for lang in range(self.width):
-            local = np.bincount(at_bit, each[:, lang], 2 * len(names)).reshape(-1, 2)[at]
-            local[begins] = self.counts[-1][self.short(key[begins], lang)]
-            yield local[:, 0], local[:, 1]
+            local = np.bincount(at_bit, each[lang], 2 * len(names)).astype(np.float32)
+            zeros, ones = local[0::2][at], local[1::2][at]
+            zeros[begins], ones[begins] = self.counts[-1][self.short(key[begins], lang)].T
+            yield zeros, ones
+
+    def hashed_odds(self) -> list[np.ndarray]:
+        """The log odds of each slot of hashed contexts, NaN where nothing was seen."""
+        return [np.where(table.any(axis=1), log_odds(*table.T), np.float32(np.nan)) for table in self.counts[:-1]]
 
     def pieces(self) -> Iterator[tuple[int, int, bytes]]:
         packer = zstandard.ZstdCompressor(1)
@@ -174,6 +181,10 @@ class Tables:
         self.counts[number].reshape(-1)[at : at + len(part)] += part
 
 
+def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
+
+
 def often(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(n)[1], OFTEN - 1)
 
@@ -181,11 +192,13 @@ def often(n: np.ndarray) -> np.ndarray:
 def backed_off(zeros: np.ndarray, ones: np.ndarray, coarser: np.ndarray) -> np.ndarray:
     """The probability of a 1, what a discount frees being left to a coarser one."""
     n = zeros + ones
-    freed = DISCOUNT * ((zeros > 0) * 1.0 + (ones > 0))
-    return np.where(n > 0, (np.maximum(ones - DISCOUNT, 0) + freed * coarser) / np.maximum(n, 1), coarser)
+    freed = np.float32(DISCOUNT) * ((zeros > 0).astype(np.float32) + (ones > 0))
+    p = (np.maximum(ones - np.float32(DISCOUNT), 0) + freed * coarser) / np.maximum(n, 1)
+    return np.where(n > 0, p, coarser)
 
 
 def stretched(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, LEAST, 1 - LEAST)
     return np.log(p / (1 - p))
 
 
@@ -206,84 +219,91 @@ class Mixer:
         self.seen = np.zeros((GATES, LEVELS, 2))
         self.steps, self.last_steps = np.full(self.weights.shape, 1e-8), np.full(self.last.shape, 1e-8)
 
-    def odds(self, tables: Tables, found: list[np.ndarray], value: np.ndarray, bit: int, leave_out: bool):
-        """Inputs, log odds and gate of the first layer. One occurrence of the word itself can be left out."""
-        inputs = np.empty((INPUTS, len(value)), np.float32)
+    def odds(self, held: list[np.ndarray], found: list[np.ndarray], bit: int, value: np.ndarray | None = None):
+        """Inputs, log odds and gate of the first layer, from ``hashed_odds``. With ``value``, from counts, that occurrence left out."""
+        inputs = np.empty((INPUTS, len(found[0])), np.float32)
         inputs[-1] = 0.3
-        longest = np.zeros(len(value), np.int64)
-        for number, (table, slot) in enumerate(zip(tables.counts, found)):
-            zeros, ones = table[slot].T
-            if leave_out:
+        longest = np.zeros(len(found[0]), np.int64)
+        for number, (table, slot) in enumerate(zip(held, found)):
+            if value is None:
+                inputs[number] = table[slot]
+                seen = ~np.isnan(inputs[number])
+                inputs[number, ~seen] = 0
+            else:
+                zeros, ones = table[slot].T
                 zeros, ones = np.maximum(zeros - (1 - value), 0), np.maximum(ones - value, 0)
-            inputs[number] = np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))
-            longest[(zeros + ones) > 0] = number + 1
+                inputs[number], seen = log_odds(zeros, ones), (zeros + ones) > 0
+            longest[seen] = number + 1
         gate = longest * 8 + bit
-        return inputs, np.einsum("ij,ji->i", inputs.T, self.weights[gate].T.astype(np.float32)), gate
+        return inputs, sum(self.weights[:, i].astype(np.float32)[gate] * x for i, x in enumerate(inputs)), gate
 
     def refined(self) -> tuple[np.ndarray, np.ndarray]:
         total = self.seen.sum(axis=2)
-        return (self.seen[:, :, 1] + PRIOR) / (total + 2 * PRIOR), total > 100
+        return ((self.seen[:, :, 1] + PRIOR) / (total + 2 * PRIOR)).astype(np.float32), total > 100
 
     def first(self, odds: np.ndarray, gate: np.ndarray, refined: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         p, at = squashed(odds), level(odds)
         p = np.where(refined[1][gate, at], (p + refined[0][gate, at]) / 2, p)
-        return np.clip(p, 1e-5, 1 - 1e-5)
+        return np.clip(p, np.float32(1e-5), np.float32(1 - 1e-5))
 
-    def final(self, first: np.ndarray, both: np.ndarray, lang: np.ndarray, n_lang: np.ndarray, n_all: np.ndarray, bit: int):
-        """Inputs, probability and gate of the last layer."""
-        inputs = np.array([stretched(np.clip(p, 1e-7, 1 - 1e-7)) for p in (first, both, lang)])
+    def final(self, inputs: tuple[np.ndarray, ...], n_lang: np.ndarray | int, n_all: np.ndarray, bit: int):
+        """Probability and gate of the last layer; its inputs are log odds of the first, of all languages and of one."""
         gate = (often(n_lang) * OFTEN + often(n_all)) * 8 + bit
-        return inputs, np.clip(squashed((inputs.T * self.last[gate]).sum(axis=1)), 1e-7, 1 - 1e-7), gate
+        odds = sum(self.last[:, i].astype(np.float32)[gate] * x for i, x in enumerate(inputs))
+        return np.clip(squashed(odds), LEAST, 1 - LEAST), gate
 
     def learn(self, tables: Tables, words: list[bytes], counts: np.ndarray) -> None:
         """One step per bit over a block of words, each as often as it occurs, the occurrence itself left out."""
         spelled, refined = spelling(words), self.refined()
-        each = counts[spelled.of].astype(np.float64)
-        times = each.sum(axis=1)
+        each = counts.T.astype(np.float64)[:, spelled.of]
+        times = each.sum(axis=0)
         for bit in range(8):
             found, key, value = slots(spelled, bit)
-            inputs, odds, gate = self.odds(tables, found, value, bit, leave_out=True)
+            inputs, odds, gate = self.odds(tables.counts, found, bit, value.astype(np.float32))
             first = self.first(odds, gate, refined)
             followed = list(tables.beginnings(spelled, key, value, each))
             zeros = np.maximum(sum(z for z, _ in followed) - (1 - value), 0)
             ones = np.maximum(sum(o for _, o in followed) - value, 0)
             both = backed_off(zeros, ones, first)
+            coarse = stretched(first), stretched(both)
             for lang, (own_zeros, own_ones) in enumerate(followed):
-                here = np.flatnonzero(each[:, lang])
+                here = np.flatnonzero(each[lang])
                 if not len(here):
                     continue
                 own_zeros, own_ones = np.maximum(own_zeros[here] - (1 - value[here]), 0), np.maximum(own_ones[here] - value[here], 0)
                 of_lang = backed_off(own_zeros, own_ones, both[here])
-                seen = own_zeros + own_ones, (zeros + ones)[here]
-                last, p, at = self.final(first[here], both[here], of_lang, *seen, bit)
-                step(self.last, self.last_steps, last, (value[here] - p), each[here, lang], at)
+                last = coarse[0][here], coarse[1][here], stretched(of_lang)
+                p, at = self.final(last, own_zeros + own_ones, (zeros + ones)[here], bit)
+                step(self.last, self.last_steps, last, value[here] - p, each[lang, here], at)
             self.seen += np.bincount((gate * LEVELS + level(odds)) * 2 + value, times, self.seen.size).reshape(self.seen.shape)
             step(self.weights, self.steps, inputs, value - squashed(odds), times, gate)
 
     def log10(self, tables: Tables, words: list[bytes], counts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each word by language; ``counts`` of the words in training rows."""
-        out, refined = [np.empty((0, tables.width))], self.refined()
+        out, refined, held = [np.empty((0, tables.width))], self.refined(), tables.hashed_odds()
         for part in blocks(words):
             spelled = spelling(words[part])
-            each = counts[part][spelled.of].astype(np.float64)
-            total = np.zeros((tables.width, len(spelled.codes)))
+            each = counts[part].T.astype(np.float64)[:, spelled.of]
+            byte = np.ones((tables.width, len(spelled.codes)))
             for bit in range(8):
                 found, key, value = slots(spelled, bit)
-                _, odds, gate = self.odds(tables, found, value, bit, leave_out=False)
+                _, odds, gate = self.odds(held, found, bit)
                 first = self.first(odds, gate, refined)
                 followed = list(tables.beginnings(spelled, key, value, each))
                 zeros, ones = sum(z for z, _ in followed), sum(o for _, o in followed)
-                both = backed_off(zeros, ones, first)
-                _, p, _ = self.final(first, both, both, 0 * zeros, zeros + ones, bit)
-                unseen = np.log10(np.where(value, p, 1 - p))
+                n, both = zeros + ones, backed_off(zeros, ones, first)
+                coarse = stretched(first), stretched(both)
+                p, _ = self.final((*coarse, coarse[1]), np.zeros_like(n), n, bit)
+                unseen = np.where(value, p, 1 - p)
                 for lang, (own_zeros, own_ones) in enumerate(followed):
                     here = np.flatnonzero(own_zeros + own_ones)
                     own = own_zeros[here], own_ones[here]
-                    _, p, _ = self.final(first[here], both[here], backed_off(*own, both[here]), sum(own), (zeros + ones)[here], bit)
-                    logs = unseen.copy()
-                    logs[here] = np.log10(np.where(value[here], p, 1 - p))
-                    total[lang] += logs
-            out.append(np.add.reduceat(total, spelled.starts, axis=1).T)
+                    last = coarse[0][here], coarse[1][here], stretched(backed_off(*own, both[here]))
+                    p, _ = self.final(last, own[0] + own[1], n[here], bit)
+                    bits = unseen.copy()
+                    bits[here] = np.where(value[here], p, 1 - p)
+                    byte[lang] *= bits
+            out.append(np.add.reduceat(np.log10(byte), spelled.starts, axis=1).T)
         return np.concatenate(out)
 
 
@@ -297,7 +317,7 @@ def step(weights: np.ndarray, steps: np.ndarray, inputs: np.ndarray, error: np.n
 
 
 def squashed(odds: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(odds, -20, 20).astype(np.float64)))
+    return 1 / (1 + np.exp(-np.clip(odds, -15, 15)))
 
 
 def level(odds: np.ndarray) -> np.ndarray:
