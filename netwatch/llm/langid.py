@@ -37,6 +37,8 @@ MOST_ROWS = 2_000
 LONGEST = 40
 UNDETERMINED = "und"
 KEPT_WORDS = 200_000
+# Words whose letters are looked up at one time: each takes a few numbers per letter and language for a moment.
+WORDS_AT_ONCE = 4_096
 # Kneser-Ney takes this from each count; the part of the share that is spread over unseen letters.
 DISCOUNT = 0.75
 LETTERS = 3_000
@@ -219,20 +221,38 @@ class Model(NamedTuple):
         return np.add.reduceat(sums, first, axis=0), np.add.reduceat(lengths - 1, first)
 
 
-def entropies(model: Model, runs: list[list[str]], known: dict[str, tuple]) -> tuple[np.ndarray, np.ndarray]:
+class Known:
+    """Sums and letters of the words seen before, a row of numbers each, up to about ``KEPT_WORDS``."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.rows = np.zeros((0, len(self.model.langs) + 1))
+
+    def add(self, words: set[str]) -> None:
+        if len(self.places) > KEPT_WORDS:
+            self.clear()
+        new = list(words.difference(self.places))
+        rows = [self.rows]
+        for start in range(0, len(new), WORDS_AT_ONCE):
+            rows.append(np.column_stack(self.model.words(new[start : start + WORDS_AT_ONCE])))
+        self.rows = np.concatenate(rows)
+        self.places.update(zip(new, range(len(self.places), len(self.rows))))
+
+    def total(self, words: list[str]) -> np.ndarray:
+        return self.rows[np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))].sum(axis=0)
+
+
+def entropies(runs: list[list[str]], known: Known) -> tuple[np.ndarray, np.ndarray]:
     """Cross-entropy per language and number of letters of texts given by their letter runs."""
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    new = list(set(chain.from_iterable(runs)).difference(known))
-    if new:
-        sums, counts = model.words(new)
-        known.update((word, (*row, n)) for word, row, n in zip(new, sums.tolist(), counts.tolist()))
-    width = len(model.langs) + 1
-    out = np.zeros((len(runs), width))
+    known.add(set(chain.from_iterable(runs)))
+    out = np.zeros((len(runs), known.rows.shape[1]))
     for i, words in enumerate(runs):
         if words:
-            flat = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.float64, len(words) * width)
-            out[i] = flat.reshape(-1, width).sum(axis=0)
+            out[i] = known.total(words)
     letters = out[:, -1]
     return -out[:, :-1] / np.maximum(letters, 1)[:, None], letters
 
@@ -265,10 +285,10 @@ def calibrated(model: Model, rows: DataFrame, lang: str, text: str) -> Model:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[list], dict[str, list]]:
-        known: dict = {}
+        known = Known(shared.value)
 
         def work(values: list) -> dict[str, list]:
-            found, letters = entropies(shared.value, [letter_runs(v) for v in values], known)
+            found, letters = entropies([letter_runs(v) for v in values], known)
             return {"entropies": found.tolist(), "letters": letters}
 
         return work
@@ -303,11 +323,11 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[list], dict[str, list]]:
-        known: dict = {}
         model = shared.value
+        known = Known(model)
 
         def work(values: list) -> dict[str, list]:
-            found, letters = entropies(model, [letter_runs(v) for v in values], known)
+            found, letters = entropies([letter_runs(v) for v in values], known)
             if not model.langs:
                 none = [None] * len(values)
                 return {"lang_pred": [UNDETERMINED] * len(values), "score": [0.0] * len(values),

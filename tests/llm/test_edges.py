@@ -165,6 +165,31 @@ def test_kneser_ney_sums_to_one():
         assert abs(seen + rest * bool(context) + tail - 1) < 1e-9
 
 
+def test_known_words_of_a_language_model_are_small(monkeypatch):
+    """In lists of new words and of known ones: sums as for each word alone, and little memory for each."""
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choices("abcdefgh", k=rng.randint(6, 12))) for _ in range(40_000)})
+    learned = [langid.kneser_ney({f"{langid.START}": 1, "a": n, "b": 2, "ab": n}, 2) for n in (3, 5, 7, 9)]
+    grams, freed = zip(*learned)
+    ones = np.ones(4)
+    model = langid.Model(
+        list("defg"), [langid.table(grams, n) for n in (1, 2)], [langid.table(freed, n) for n in (0, 1)], ones, ones, ones, ones
+    )
+    known = langid.Known(model)
+    tracemalloc.start()
+    found, letters = langid.entropies([words, []], known)
+    kept, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept / len(words) < 150 and most / len(words) < 500  # 200 and 1,638 bytes a word before, 96 and 262 since
+    assert letters.tolist() == [sum(map(len, words)) + len(words), 0]
+    monkeypatch.setattr(langid, "KEPT_WORDS", 100)
+    again = langid.entropies([words[:7], ["b", *words[:7], "b"]], known)
+    assert list(known.places) != words and len(known.places) == 8
+    sums = [model.words([word])[0][0] for word in (*words[:7], "b", "b")]
+    assert np.allclose(-again[0][1] * again[1][1], np.sum(sums, axis=0), rtol=1e-12)
+    assert np.allclose(-again[0][0] * again[1][0], np.sum(sums[:7], axis=0), rtol=1e-12)
+
+
 def test_lm_scores(docs, empty, texts):
     held = F.col("doc_id") % 4 == 0
     got = found(mixing.score_texts(docs, held), "doc_id", "n_tokens", "n_known", "score", "held_out", "n_bytes")
