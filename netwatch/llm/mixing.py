@@ -34,6 +34,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -91,6 +92,29 @@ class Spelling(NamedTuple):
     of: np.ndarray
     starts: np.ndarray
 
+    def at(self, places: np.ndarray) -> Spelling:
+        """Only the bytes at these places."""
+        return Spelling([c[places] for c in self.contexts], *(a[places] for a in self[1:5]), self.starts)
+
+
+class Beginnings:
+    """The bytes of a spelling in an order that brings those with the same beginning and the same next bits together.
+
+    Words that begin alike share contexts, slots and counts, so these are looked up once a beginning.
+    """
+
+    def __init__(self, spelled: Spelling) -> None:
+        names, node = np.unique(spelled.prefix, return_inverse=True)
+        coded = (node.astype(np.int64) << 8) | spelled.codes.astype(np.int64)
+        self.order = np.argsort(coded)
+        self.coded = coded[self.order]
+
+    def runs(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the runs of bytes start that share their beginning and ``bits`` bits, and the run of each byte."""
+        part = self.coded >> (8 - bits)
+        first = np.concatenate([np.ones(min(1, len(part)), bool), part[1:] != part[:-1]])
+        return np.flatnonzero(first), np.cumsum(first) - 1
+
 
 def spelling(words: list[bytes]) -> Spelling:
     text = b"".join(word + b" " for word in words)
@@ -153,16 +177,16 @@ class Tables:
                 here = np.flatnonzero(begins & (each[lang] > 0))
                 np.add.at(self.counts[-1].reshape(-1), 2 * self.short(key[here], lang) + value[here], each[lang, here])
 
-    def beginnings(self, spelled: Spelling, key: np.ndarray, value: np.ndarray, each: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """By language, how often a 0 and a 1 followed each byte's beginning. Words of one first ``LOCAL`` bytes come together."""
-        names, at = np.unique(key, return_inverse=True)
+    def followed(self, spelled: Spelling, key: np.ndarray, local: np.ndarray) -> np.ndarray:
+        """By language, how often a 0 and a 1 followed each beginning, given here by one of its bytes.
+
+        ``local`` counts the words at hand, which are all with their first ``LOCAL`` bytes.
+        """
+        out = local.astype(np.float32)
         begins = np.flatnonzero(spelled.depth < LOCAL)
-        at_bit = 2 * at + value
-        for lang in range(self.width):
-            local = np.bincount(at_bit, each[lang], 2 * len(names)).astype(np.float32)
-            zeros, ones = local[0::2][at], local[1::2][at]
-            zeros[begins], ones[begins] = self.counts[-1][self.short(key[begins], lang)].T
-            yield zeros, ones
+        rows = self.counts[-1].reshape(-1, self.width, 2)[(key[begins] >> np.uint64(64 - self.short_bits)).astype(np.int64)]
+        out[:, begins] = rows.transpose(1, 0, 2)
+        return out
 
     def hashed_odds(self) -> list[np.ndarray]:
         """The log odds of each slot of hashed contexts, NaN where nothing was seen."""
@@ -226,16 +250,16 @@ class Mixer:
         longest = np.zeros(len(found[0]), np.int64)
         for number, (table, slot) in enumerate(zip(held, found)):
             if value is None:
-                inputs[number] = table[slot]
+                inputs[number] = table.take(slot)
                 seen = ~np.isnan(inputs[number])
                 inputs[number, ~seen] = 0
             else:
-                zeros, ones = table[slot].T
+                zeros, ones = table.take(slot, axis=0).T
                 zeros, ones = np.maximum(zeros - (1 - value), 0), np.maximum(ones - value, 0)
                 inputs[number], seen = log_odds(zeros, ones), (zeros + ones) > 0
             longest[seen] = number + 1
         gate = longest * 8 + bit
-        return inputs, sum(self.weights[:, i].astype(np.float32)[gate] * x for i, x in enumerate(inputs)), gate
+        return inputs, sum(self.weights[:, i].astype(np.float32).take(gate) * x for i, x in enumerate(inputs)), gate
 
     def refined(self) -> tuple[np.ndarray, np.ndarray]:
         total = self.seen.sum(axis=2)
@@ -249,32 +273,41 @@ class Mixer:
     def final(self, inputs: tuple[np.ndarray, ...], n_lang: np.ndarray | int, n_all: np.ndarray, bit: int):
         """Probability and gate of the last layer; its inputs are log odds of the first, of all languages and of one."""
         gate = (often(n_lang) * OFTEN + often(n_all)) * 8 + bit
-        odds = sum(self.last[:, i].astype(np.float32)[gate] * x for i, x in enumerate(inputs))
+        odds = sum(self.last[:, i].astype(np.float32).take(gate) * x for i, x in enumerate(inputs))
         return np.clip(squashed(odds), LEAST, 1 - LEAST), gate
 
     def learn(self, tables: Tables, words: list[bytes], counts: np.ndarray) -> None:
         """One step per bit over a block of words, each as often as it occurs, the occurrence itself left out."""
         spelled, refined = spelling(words), self.refined()
-        each = counts.T.astype(np.float64)[:, spelled.of]
-        times = each.sum(axis=0)
+        begun = Beginnings(spelled)
+        each = counts.T.astype(np.float64)[:, spelled.of[begun.order]]
         for bit in range(8):
-            found, key, value = slots(spelled, bit)
+            # Bytes with one beginning and one bit after it are one step, as often as they occur together.
+            starts, _ = begun.runs(bit + 1)
+            own, times_each = spelled.at(begun.order[starts]), np.add.reduceat(each, starts, axis=1)
+            times = times_each.sum(axis=0)
+            found, key, value = slots(own, bit)
             inputs, odds, gate = self.odds(tables.counts, found, bit, value.astype(np.float32))
             first = self.first(odds, gate, refined)
-            followed = list(tables.beginnings(spelled, key, value, each))
-            zeros = np.maximum(sum(z for z, _ in followed) - (1 - value), 0)
-            ones = np.maximum(sum(o for _, o in followed) - value, 0)
+            part = begun.coded[starts] >> (8 - bit)
+            run = np.cumsum(np.concatenate([[False], part[1:] != part[:-1]]))
+            local = np.zeros((tables.width, run[-1] + 1, 2))
+            local[:, run, value] = times_each
+            followed = tables.followed(own, key, local[:, run])
+            zeros = np.maximum(followed[..., 0].sum(axis=0) - (1 - value), 0)
+            ones = np.maximum(followed[..., 1].sum(axis=0) - value, 0)
             both = backed_off(zeros, ones, first)
             coarse = stretched(first), stretched(both)
-            for lang, (own_zeros, own_ones) in enumerate(followed):
-                here = np.flatnonzero(each[lang])
+            for lang in range(tables.width):
+                here = np.flatnonzero(times_each[lang])
                 if not len(here):
                     continue
-                own_zeros, own_ones = np.maximum(own_zeros[here] - (1 - value[here]), 0), np.maximum(own_ones[here] - value[here], 0)
+                own_zeros, own_ones = followed[lang, here].T
+                own_zeros, own_ones = np.maximum(own_zeros - (1 - value[here]), 0), np.maximum(own_ones - value[here], 0)
                 of_lang = backed_off(own_zeros, own_ones, both[here])
                 last = coarse[0][here], coarse[1][here], stretched(of_lang)
                 p, at = self.final(last, own_zeros + own_ones, (zeros + ones)[here], bit)
-                step(self.last, self.last_steps, last, value[here] - p, each[lang, here], at)
+                step(self.last, self.last_steps, last, value[here] - p, times_each[lang, here], at)
             self.seen += np.bincount((gate * LEVELS + level(odds)) * 2 + value, times, self.seen.size).reshape(self.seen.shape)
             step(self.weights, self.steps, inputs, value - squashed(odds), times, gate)
 
@@ -283,27 +316,32 @@ class Mixer:
         out, refined, held = [np.empty((0, tables.width))], self.refined(), tables.hashed_odds()
         for part in blocks(words):
             spelled = spelling(words[part])
-            each = counts[part].T.astype(np.float64)[:, spelled.of]
+            begun = Beginnings(spelled)
+            each = counts[part].T.astype(np.float64)[:, spelled.of[begun.order]]
             byte = np.ones((tables.width, len(spelled.codes)))
             for bit in range(8):
-                found, key, value = slots(spelled, bit)
+                starts, run = begun.runs(bit)
+                own = spelled.at(begun.order[starts])
+                found, key, _ = slots(own, bit)
                 _, odds, gate = self.odds(held, found, bit)
                 first = self.first(odds, gate, refined)
-                followed = list(tables.beginnings(spelled, key, value, each))
-                zeros, ones = sum(z for z, _ in followed), sum(o for _, o in followed)
+                place = 2 * run + (begun.coded >> (7 - bit) & 1)
+                local = np.stack([np.bincount(place, one, 2 * len(starts)) for one in each]).reshape(tables.width, -1, 2)
+                followed = tables.followed(own, key, local)
+                zeros, ones = followed.sum(axis=0).T
                 n, both = zeros + ones, backed_off(zeros, ones, first)
                 coarse = stretched(first), stretched(both)
-                p, _ = self.final((*coarse, coarse[1]), np.zeros_like(n), n, bit)
-                unseen = np.where(value, p, 1 - p)
-                for lang, (own_zeros, own_ones) in enumerate(followed):
-                    here = np.flatnonzero(own_zeros + own_ones)
-                    own = own_zeros[here], own_ones[here]
-                    last = coarse[0][here], coarse[1][here], stretched(backed_off(*own, both[here]))
-                    p, _ = self.final(last, own[0] + own[1], n[here], bit)
-                    bits = unseen.copy()
-                    bits[here] = np.where(value[here], p, 1 - p)
-                    byte[lang] *= bits
-            out.append(np.add.reduceat(np.log10(byte), spelled.starts, axis=1).T)
+                unseen, _ = self.final((*coarse, coarse[1]), np.zeros_like(n), n, bit)
+                for lang in range(tables.width):
+                    here = np.flatnonzero(followed[lang].any(axis=1))
+                    own_zeros, own_ones = followed[lang, here].T
+                    last = coarse[0][here], coarse[1][here], stretched(backed_off(own_zeros, own_ones, both[here]))
+                    p = unseen.copy()
+                    p[here], _ = self.final(last, own_zeros + own_ones, n[here], bit)
+                    byte[lang] *= np.stack([1 - p, p], axis=1).reshape(-1).take(place)
+            logs = np.empty_like(byte)
+            logs[:, begun.order] = np.log10(byte)
+            out.append(np.add.reduceat(logs, spelled.starts, axis=1).T)
         return np.concatenate(out)
 
 
@@ -379,7 +417,7 @@ def counted(docs: DataFrame, held: Column, lang: str | None, langs: list, bucket
         table = np.zeros((len(words), width), np.int32)
         for place, counter in counters.items():
             if place >= 0:
-                table[:, place] = np.fromiter(map(counter.__getitem__, words), np.int64, len(words))
+                table[:, place] = np.fromiter(map(counter.get, words, repeat(0)), np.int64, len(words))
         bucket = np.fromiter((xxhash.xxh32_intdigest(w[:LOCAL]) % buckets for w in words), np.int64, len(words))
         rows: list[tuple] = []
         for one in np.unique(bucket).tolist():

@@ -229,6 +229,25 @@ def test_the_mixer_prices_every_word_by_its_occurrences(monkeypatch):
     assert (mixer.log10(tables, new, np.zeros((3, 2), np.int64)) < np.log10(p[frequent].min())).all()
 
 
+def test_words_that_begin_alike_are_looked_up_once(monkeypatch):
+    """At most one look-up a bit of each beginning (and of each next bit, where learning); the order of words is nothing."""
+    words = sorted(f"together{i:03}".encode() for i in range(300))
+    counts = np.array([[i % 3, 1 + i % 2] for i in range(300)])
+    tables, mixer = mixing.Tables(2), mixing.Mixer()
+    tables.learn(words, counts)
+    asked = []
+    whole = mixing.Mixer.odds
+    monkeypatch.setattr(mixing.Mixer, "odds", lambda self, held, found, *rest: asked.append(len(found[0])) or whole(self, held, found, *rest))
+    mixer.learn(tables, words, counts)
+    branches = len({word[:n] for word in (w + b" " for w in words) for n in range(1, 13)})
+    assert max(asked) == branches < sum(map(len, words)) / 5
+    asked.clear()
+    prices = mixer.log10(tables, words, counts)
+    assert max(asked) <= branches
+    turn = np.random.default_rng(3).permutation(300)
+    assert np.array_equal(mixer.log10(tables, [words[i] for i in turn], counts[turn]), prices[turn])
+
+
 def test_text_as_context(monkeypatch):
     rng = np.random.default_rng(1)
     own = [rng.integers(0, 6, n) for n in (1, 9, 50, 2, 2, 11)]
